@@ -1,0 +1,4 @@
+"""Deliberately empty: layers are finite tables that each run replaces whole, so there is no stream to read.
+
+Every operator is DataFrame in, DataFrame out, and can be called from a ``foreachBatch`` function as it is.
+"""
