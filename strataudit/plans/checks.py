@@ -17,10 +17,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from strataudit.config import CHECKS, CRITICAL, INFO, TRANSITIONS, WARNING, AuditConfig
-from strataudit.functions import exprs, is_numeric, lit, name
+from strataudit.functions import exprs, is_numeric, lit, name, percent_of
 from strataudit.operators import evidence as E
 from strataudit.operators import reconcile as R
+from strataudit.operators.profile import table_profiles
 from strataudit.plans.findings import (
+    EVIDENCE,
+    FINDING,
     FINDING_DDL,
     SEGMENT_DDL,
     evidence_struct,
@@ -33,7 +36,6 @@ Layers = Mapping[str, DataFrame]
 
 FACTS_DDL = ("run_id string, kind string, rule int, step int, a bigint, b bigint, c bigint, d bigint, "
              "x double, y double, z double, label string")
-DETAIL_ROWS_DDL = "run_id string, verdict string, table string, column string, metric string, number bigint, text string"
 # Values listed inside a finding; the complete set is a frame of its own (see ``lost_groups``).
 LISTED_VALUES = 100
 
@@ -90,18 +92,15 @@ def layer_facts(layers: Layers, cfg: AuditConfig, run_id: str, changes: Mapping[
 # ---------------------------------------------------------------- findings
 
 class Checks:
-    """Evaluates the checks over profiles, facts and details of one or many runs."""
+    """Evaluates the checks over the profiles and facts of one or many runs."""
 
     def __init__(self, spark: SparkSession, cfg: AuditConfig, profiles: DataFrame, facts: DataFrame | None = None,
-                 details: DataFrame | None = None):
+                 tables: DataFrame | None = None):
         self.spark, self.cfg = spark, cfg
-        rows = details if details is not None else local_frame(spark, [], DETAIL_ROWS_DDL)
         self.frames = {
             "profiles": profiles,
-            "tables": profiles.groupBy("run_id", "table").agg(*exprs(
-                "max(row_count) AS row_count", "max(duplicate_keys) AS duplicate_keys")),
+            "tables": tables if tables is not None else table_profiles(profiles),
             "facts": facts if facts is not None else local_frame(spark, [], FACTS_DDL),
-            "details": _folded_details(rows),
             "contracts": cfg.contract_frame(spark),
             "keys": cfg.key_frame(spark),
             "downstream": cfg.downstream_frame(spark),
@@ -127,19 +126,10 @@ class Checks:
             transition_idx="c.transition_idx", table="c.table", column="c.column",
             message="CASE WHEN p.dtype IS NULL THEN concat(c.table, '.', c.column, ' is missing') ELSE "
                     "concat(c.table, '.', c.column, ' arrived as ', p.dtype, ', contract says ', c.expected_type) END",
-            expected="c.expected_type", actual="p.dtype",
-            evidence=evidence_struct(
-                non_numeric_rows="d.affected_rows",
-                non_numeric_pct="CASE WHEN t.row_count > 0 THEN round(100.0D * d.affected_rows / t.row_count, 1) END",
-                sample_values="d.samples",
-                pattern="CASE WHEN exists(d.samples, v -> v RLIKE '[$,]') THEN "
-                        "'values contain currency symbols / thousands separators' END",
-                affected_segment="d.sole"))
+            expected="c.expected_type", actual="p.dtype")
         return self._sql(f"""
             SELECT {columns} FROM {{contracts}} c JOIN {{tables}} t ON t.table = c.table
             LEFT JOIN {{profiles}} p ON p.run_id = t.run_id AND p.table = c.table AND p.column = c.column
-            LEFT JOIN {{details}} d ON d.run_id = t.run_id AND d.verdict = 'schema' AND d.table = c.table
-                AND d.column = c.column
             WHERE p.dtype IS NULL OR p.dtype <> c.expected_type""")
 
     def nulls(self) -> DataFrame:
@@ -159,7 +149,7 @@ class Checks:
                 upstream_null_pct="u.null_pct", upstream_dtype="u.dtype",
                 note="CASE WHEN u.dtype <> p.dtype THEN concat('upstream column is ', u.dtype, "
                      "'; values that failed the cast to ', p.dtype, ' became NULL') END",
-                affected_segment="d.sole", persists_in="coalesce(x.found, array())"))
+                persists_in="coalesce(x.found, array())"))
         return self._sql(f"""
             WITH persisting AS (
                 SELECT p.run_id, c.table, c.column, transform(array_sort(collect_list(
@@ -171,8 +161,6 @@ class Checks:
             SELECT {columns} FROM {{contracts}} c JOIN {{profiles}} p ON p.table = c.table AND p.column = c.column
             LEFT JOIN {{profiles}} u ON u.run_id = p.run_id AND u.table = c.upstream_table AND u.column = c.column
             LEFT JOIN persisting x ON x.run_id = p.run_id AND x.table = c.table AND x.column = c.column
-            LEFT JOIN {{details}} d ON d.run_id = p.run_id AND d.verdict = 'nulls' AND d.table = c.table
-                AND d.column = c.column
             WHERE p.null_pct > c.null_limit AND (u.null_pct IS NULL OR u.null_pct <= c.null_limit)""")
 
     def uniqueness(self) -> DataFrame:
@@ -188,10 +176,8 @@ class Checks:
                     f"' rows than upstream') END",
             expected="'0'", actual="t.duplicate_keys",
             evidence=evidence_struct(
-                duplicate_rows="t.duplicate_keys", exact_copies="d.exact_copies", upstream_duplicate_rows=inherited,
-                duplicated_keys="d.duplicated_keys",
-                origination_date_range="CASE WHEN d.date_from IS NOT NULL THEN array(d.date_from, d.date_to) END",
-                table_origination_start="d.table_start", persists_in="coalesce(x.found, array())"))
+                duplicate_rows="t.duplicate_keys", upstream_duplicate_rows=inherited,
+                persists_in="coalesce(x.found, array())"))
         return self._sql(f"""
             WITH persisting AS (
                 SELECT q.run_id, w.table, transform(array_sort(collect_list(
@@ -201,7 +187,6 @@ class Checks:
             SELECT {columns} FROM {{keys}} k JOIN {{tables}} t ON t.table = k.table
             LEFT JOIN {{tables}} u ON u.run_id = t.run_id AND u.table = k.upstream_table
             LEFT JOIN persisting x ON x.run_id = t.run_id AND x.table = k.table
-            LEFT JOIN {{details}} d ON d.run_id = t.run_id AND d.verdict = 'uniqueness' AND d.table = k.table
             WHERE t.duplicate_keys - {inherited} > 0""")
 
     def key_integrity(self) -> DataFrame:
@@ -215,15 +200,11 @@ class Checks:
                         f"{lit(f' {rule.noun} between {_layer(rule.before)} and {_layer(rule.after)}')})",
                 expected="'unchanged'", actual="concat(format_number(f.a, 0), ' changed')",
                 evidence=evidence_struct(
-                    changed_rows="f.a", affected_segment="f.label", examples="d.samples",
-                    rows_now_unmatched_in_customers="coalesce(d.unmatched_rows, 0L)",
+                    changed_rows="f.a", affected_segment="f.label",
                     pattern="CASE WHEN f.a = f.b THEN "
                             "'leading zeros stripped - looks like the key was cast to an integer' END"))
             parts.append(self._sql(f"""
-                SELECT {columns} FROM {{facts}} f
-                LEFT JOIN {{details}} d ON d.run_id = f.run_id AND d.verdict = 'key_integrity'
-                    AND d.table = {lit(rule.after)}
-                WHERE f.kind = 'key' AND f.rule = {i} AND f.a > 0"""))
+                SELECT {columns} FROM {{facts}} f WHERE f.kind = 'key' AND f.rule = {i} AND f.a > 0"""))
         return _union(parts) if parts else self._none()
 
     def _count_finding(self, table: str, transition: str, item_idx: int, run_id: str, expected: str, actual: str,
@@ -266,22 +247,10 @@ class Checks:
                                           evidence)
             parts.append(self._sql(f"SELECT {columns} {source} AND t.row_count <> f.b"))
         for i, rule in enumerate(self.cfg.pass_through_rules):
-            unmatched = "d.unmatched_rows > 0"
-            evidence = evidence_struct(
-                cause=f"CASE WHEN {unmatched} THEN "
-                      f"{lit(f'{rule.noun} whose {rule.column} has no match in {rule.reference} are dropped by the inner join')} END",
-                unmatched_rows=f"CASE WHEN {unmatched} THEN d.unmatched_rows END",
-                affected_segment=f"CASE WHEN {unmatched} THEN d.sole END",
-                sample_unmatched_keys=f"CASE WHEN {unmatched} THEN d.samples END",
-                customer_key_length=f"CASE WHEN {unmatched} THEN d.key_length END",
-                match_if_zero_padded=f"CASE WHEN {unmatched} THEN coalesce(d.padded, 0L) END",
-                loan_types_missing_from_final=f"CASE WHEN {unmatched} AND size(d.missing) > 0 THEN d.missing END")
             columns = self._count_finding(rule.after, rule.transition, 1000 + i, "s.run_id", "s.row_count",
-                                          "t.row_count", evidence)
+                                          "t.row_count", evidence_struct())
             parts.append(self._sql(f"""
                 SELECT {columns} FROM {{tables}} s JOIN {{tables}} t ON t.run_id = s.run_id
-                LEFT JOIN {{details}} d ON d.run_id = s.run_id AND d.verdict = 'row_counts'
-                    AND d.table = {lit(rule.after)}
                 WHERE s.table = {lit(rule.before)} AND t.table = {lit(rule.after)} AND t.row_count <> s.row_count"""))
         return _union(parts) if parts else self._none()
 
@@ -332,7 +301,7 @@ def _layer(table: str) -> str:
 
 # ---------------------------------------------------------------- details: only what was flagged
 
-def _folded_details(rows: DataFrame) -> DataFrame:
+def folded_details(rows: DataFrame) -> DataFrame:
     """One row per reported problem, from one row per figure."""
     def number(metric: str) -> str:
         return f"max(CASE WHEN metric = '{metric}' THEN number END) AS {metric}"
@@ -343,10 +312,54 @@ def _folded_details(rows: DataFrame) -> DataFrame:
     def texts(metric: str, alias: str) -> str:
         return f"array_sort(collect_list(CASE WHEN metric = '{metric}' THEN text END)) AS {alias}"
 
-    return rows.groupBy("run_id", "verdict", "table", "column").agg(*exprs(
-        number("affected_rows"), text("sole"), texts("sample", "samples"), texts("missing", "missing"),
-        number("exact_copies"), number("duplicated_keys"), text("date_from"), text("date_to"), text("table_start"),
-        number("unmatched_rows"), number("key_length"), number("padded")))
+    return rows.groupBy("run_id", "verdict", "table", "item_idx").agg(*exprs(
+        number("affected_rows"), number("all_rows"), text("sole"), texts("sample", "samples"),
+        texts("missing", "missing"), number("exact_copies"), number("duplicated_keys"), text("date_from"),
+        text("date_to"), text("table_start"), text("cause"), number("unmatched_rows"), number("key_length"), number("padded")))
+
+
+# Evidence fields that details fill, per check.
+DETAIL_EVIDENCE = {
+    "schema": {
+        "non_numeric_rows": "affected_rows",
+        "non_numeric_pct": percent_of("affected_rows", "all_rows", 1),
+        "sample_values": "samples",
+        "pattern": "CASE WHEN exists(samples, v -> v RLIKE '[$,]') THEN "
+                   "'values contain currency symbols / thousands separators' END",
+        "affected_segment": "sole",
+    },
+    "nulls": {"affected_segment": "sole"},
+    "uniqueness": {
+        "exact_copies": "exact_copies",
+        "duplicated_keys": "duplicated_keys",
+        "origination_date_range": "CASE WHEN date_from IS NOT NULL THEN array(date_from, date_to) END",
+        "table_origination_start": "table_start",
+    },
+    "key_integrity": {"examples": "samples", "rows_now_unmatched_in_customers": "coalesce(unmatched_rows, 0L)"},
+    "row_counts": {
+        "cause": "cause",
+        "unmatched_rows": "unmatched_rows",
+        "affected_segment": "sole",
+        "sample_unmatched_keys": "samples",
+        "customer_key_length": "key_length",
+        "match_if_zero_padded": "coalesce(padded, 0L)",
+        "loan_types_missing_from_final": "CASE WHEN size(missing) > 0 THEN missing END",
+    },
+}
+
+
+def attach_details(findings: DataFrame, rows: DataFrame) -> DataFrame:
+    """Findings with the evidence that needed a look at the data."""
+    key = ["run_id", "verdict", "table", "item_idx"]
+    joined = findings.join(folded_details(rows), key, "left")
+    fields = {}
+    for field in EVIDENCE:
+        arms = [f"WHEN verdict = {lit(v)} AND samples IS NOT NULL"
+                + (" AND unmatched_rows > 0" if v == "row_counts" else "") + f" THEN {given[field]}"
+                for v, given in DETAIL_EVIDENCE.items() if field in given]
+        old = f"evidence.{field}"
+        fields[field] = f"coalesce(CASE {' '.join(arms)} END, {old})" if arms else old
+    return joined.selectExpr(*[c for c in FINDING if c != "evidence"], f"{evidence_struct(**fields)} AS evidence")
 
 
 class Details:
@@ -391,7 +404,7 @@ class Details:
                           for m, (n, t) in figures.items())
         self.rows.append(df.selectExpr(
             f"{lit(self.run_id)} AS run_id", f"{lit(f.verdict)} AS verdict", f"{lit(f.table)} AS table",
-            f"{lit(f.column)} AS column", f"inline(array({cells}))"))
+            f"{f.item_idx} AS item_idx", f"inline(array({cells}))"))
 
     def _segment(self, df: DataFrame, f: Row, magnitude: str, **figures: str) -> None:
         self.segments.append(df.selectExpr(*segment_columns(
@@ -416,9 +429,10 @@ class Details:
             counts = self._keep(E.segment_counts(self.layers[table], segment, {k: c for k, (_, c) in items.items()}))
             for item, (f, _) in items.items():
                 mine = counts.filter(f"item = {lit(item)}")
-                summed = mine.agg(*exprs("coalesce(sum(affected), 0L) AS n",
+                summed = mine.agg(*exprs("coalesce(sum(affected), 0L) AS n", "coalesce(sum(rows), 0L) AS m",
                                          (E.sole_segment("affected", segment) if segment else lit(None)) + " AS sole"))
-                self._figures(summed, f, {"affected_rows": ("n", "null"), "sole": ("null", "sole")})
+                self._figures(summed, f, {"affected_rows": ("n", "null"), "all_rows": ("m", "null"),
+                                         "sole": ("null", "sole")})
                 if segment:
                     self._segment(mine, f, "affected", rows="rows", affected="affected", affected_pct="affected_pct")
 
@@ -457,7 +471,8 @@ class Details:
         per_segment = orphans.groupBy("segment").agg(*exprs("sum(unmatched_rows) AS unmatched_rows"))
         summed = per_segment.agg(*exprs("sum(unmatched_rows) AS n",
                                         E.sole_segment("unmatched_rows", self.cfg.segment_column) + " AS sole"))
-        self._figures(summed, f, {"unmatched_rows": ("n", "null"), "sole": ("null", "sole")})
+        cause = lit(f"{rule.noun} whose {rule.column} has no match in {rule.reference} are dropped by the inner join")
+        self._figures(summed, f, {"unmatched_rows": ("n", "null"), "sole": ("null", "sole"), "cause": ("null", cause)})
         self._row(E.smallest_values(orphans.filter(f"{name(rule.column)} IS NOT NULL"), rule.column), f, "sample",
                   text="value")
         self._row(E.modal_length(reference, rule.column), f, "key_length", number="key_length")

@@ -6,7 +6,7 @@ Every function here works on frames keyed by ``run_id`` and serves one run or a
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -23,12 +23,11 @@ from strataudit.config import (
 from strataudit.functions import exprs, lit
 from strataudit.operators import reconcile as R
 from strataudit.operators.profile import profile_layers, table_profiles
-from strataudit.plans.checks import Checks, Details, Layers, key_changes, layer_facts
+from strataudit.plans.checks import Checks, Details, Layers, attach_details, key_changes, layer_facts
 from strataudit.plans.findings import SEGMENT_DDL
-from strataudit.sources.local import as_local, local_frame
+from strataudit.sources.local import as_local, local_frame, together
 
 SEGMENTS_IN_REPORT = 4
-EVALUATED_EVIDENCE = {"schema", "nulls", "uniqueness", "key_integrity", "row_counts", "measures"}
 
 
 class DataQualityError(RuntimeError):
@@ -165,19 +164,31 @@ def evaluate(runs: DataFrame, roots: DataFrame, truth: DataFrame) -> DataFrame:
 
 @dataclass
 class Diagnosis:
-    """Results of one run. ``profiles``, ``findings`` and ``top_segments`` are bounded by the contracts and held
-    as part of their plans; ``segments`` has a row per segment of each finding and stays lazy."""
+    """Results of one run. ``profiles`` and ``findings`` are bounded by the contracts and held as part of their
+    plans. ``segments`` has a row per segment of each finding and stays lazy; until :meth:`close` it reads
+    aggregates that are already there, afterwards it computes them again."""
 
     run_id: str
     profiles: DataFrame
     findings: DataFrame
     segments: DataFrame
-    top_segments: DataFrame
-    report: DataFrame
+    kept: list[DataFrame] = field(default_factory=list)
 
     def ranked(self) -> DataFrame:
         return rank_failures(self.findings)
 
+    def report(self) -> DataFrame:
+        return assemble(self.findings, self.profiles)
+
+    def top_segments(self) -> DataFrame:
+        return as_local(top_segments(self.segments))
+
+    def close(self) -> Diagnosis:
+        for df in self.kept:
+            df.unpersist()
+        self.kept.clear()
+        return self
+
 
 def top_segments(segments: DataFrame, n: int = SEGMENTS_IN_REPORT) -> DataFrame:
     """The segments hit hardest, per finding."""
@@ -193,8 +204,7 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
     rule, and the findings.
     """
     spark = next(iter(layers.values())).sparkSession
-    profiles = as_local(profile_layers(layers, cfg, run_id, distinct))
-    kept = []
+    kept: list[DataFrame] = []
 
     def keep(df: DataFrame) -> DataFrame:
         kept.append(df.persist())
@@ -206,24 +216,25 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
             for i in range(len(cfg.key_rules))}
         totals = {i: keep(R.segment_totals(layers, rule, cfg.segment_column))
                   for i, rule in enumerate(cfg.measure_rules)}
-        facts = as_local(layer_facts(layers, cfg, run_id, changes, totals))
-        findings = as_local(Checks(spark, cfg, profiles, facts).all())
-        segments = top = local_frame(spark, [], SEGMENT_DDL)
+        profiles, facts = together(
+            lambda: as_local(profile_layers(layers, cfg, run_id, distinct)),
+            lambda: as_local(layer_facts(layers, cfg, run_id, changes, totals)))
+        tables = as_local(profiles.select("run_id", "layer", "table", "row_count", "duplicate_keys").distinct())
+        findings = as_local(Checks(spark, cfg, profiles, facts, tables).all())
         flagged = findings.filter(f"severity <> '{INFO}'").collect()
+        segments = local_frame(spark, [], SEGMENT_DDL)
         if flagged:
             details = Details(layers, cfg, run_id, changes, totals, flagged)
             kept += details.kept
             segments = details.segment_frame(spark)
             rows = details.detail_rows()
             if rows is not None:
-                findings = as_local(Checks(spark, cfg, profiles, facts, as_local(rows)).all())
-            top = as_local(top_segments(segments))
-        else:
-            top = top_segments(segments)
-    finally:
+                findings = as_local(attach_details(findings, as_local(rows)))
+    except BaseException:
         for df in kept:
             df.unpersist()
-    return Diagnosis(run_id, profiles, findings, segments, top, assemble(findings, profiles))
+        raise
+    return Diagnosis(run_id, profiles, findings, segments, kept)
 
 
 def quality_gate(diagnoses: DataFrame) -> str:

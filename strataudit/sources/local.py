@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -32,3 +34,10 @@ def _plain(value):
     if isinstance(value, list):
         return [_plain(v) for v in value]
     return value
+
+
+def together(*actions: Callable[[], object]) -> list:
+    """Submit independent jobs at once, so that the cluster is not idle at the tail of each."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        inherit = inheritable_thread_target(SparkSession.active())
+        return [f.result() for f in [pool.submit(inherit(a)) for a in actions]]

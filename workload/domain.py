@@ -13,6 +13,7 @@ from strataudit.config import AuditConfig, loan_config
 from strataudit.operators import layers as L
 from strataudit.operators import mutations as M
 from strataudit.sources.layers import LayerStore, scratch_root
+from strataudit.sources.local import together
 
 RAW_CUSTOMERS_SQL = """
 SELECT lpad(cast(c_custkey AS string), 8, '0') AS customer_id, c_name AS full_name,
@@ -96,6 +97,7 @@ def stored_layers(spark: SparkSession, sf_dir: str, scenario: str = "clean") ->
     that are stored already."""
     store = LayerStore(spark, scratch_root(spark))
     raw = raw_tables(spark, sf_dir, scenario)
-    staged = {name: store.save(name, df) for name, df in staged_tables(raw, scenario).items()}
+    lazy = staged_tables(raw, scenario)
+    staged = dict(zip(lazy, together(*[lambda n=n: store.save(n, lazy[n]) for n in lazy])))
     final = L.loan_portfolio(staged["staging.loans"], staged["staging.customers"])
     return raw | staged | {"final.loan_portfolio": store.save("final.loan_portfolio", final)}
