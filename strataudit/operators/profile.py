@@ -24,60 +24,60 @@ def _fields(df: DataFrame) -> list[tuple[int, T.StructField]]:
     return list(enumerate(f for f in df.schema.fields if f.name not in TECHNICAL_COLUMNS))
 
 
-# ---------------------------------------------------------------- exact: one scan, one shuffle
+# ---------------------------------------------------------------- exact: each column read once, one shuffle
 
-SLOTS = ("text", "number", "whole", "moment")
+# Columns are profiled together with the others of their family, in the family's own type.
+FAMILIES = {"text": "string", "decimal": "string", "number": "double", "whole": "bigint", "moment": "timestamp_ntz"}
+AS_NUMBER = {"number": "v", "whole": "cast(v AS double)", "decimal": "cast(v AS double)"}
 
 
-def _value(item: int, e: str, dtype: T.DataType) -> str:
-    """A value in the slot for its family, so that values of all columns fit one narrow row without being
-    turned into text."""
-    slots = {"text": "cast(null AS string)", "number": "cast(null AS double)", "whole": "cast(null AS bigint)",
-             "moment": "cast(null AS timestamp_ntz)"}
+def _value(e: str, dtype: T.DataType) -> tuple[str, str]:
+    """Family of a column and its value in the type of that family."""
     match dtype:
         case T.DoubleType() | T.FloatType():
-            slots["number"] = f"cast({e} AS double)"
+            return "number", f"cast({e} AS double)"
         case T.ByteType() | T.ShortType() | T.IntegerType() | T.LongType() | T.BooleanType():
-            slots["whole"] = f"cast({e} AS bigint)"
+            return "whole", f"cast({e} AS bigint)"
         case T.DateType() | T.TimestampNTZType():
-            slots["moment"] = f"cast({e} AS timestamp_ntz)"
+            return "moment", f"cast({e} AS timestamp_ntz)"
         case T.TimestampType():
-            slots["whole"] = f"unix_micros({e})"
+            return "whole", f"unix_micros({e})"
         case T.DecimalType():
-            slots |= {"text": f"cast({e} AS string)", "number": f"cast({e} AS double)"}
+            return "decimal", f"cast({e} AS string)"
         case T.BinaryType():
-            slots["text"] = f"hex({e})"
+            return "text", f"hex({e})"
         case T.ArrayType() | T.MapType() | T.StructType():
-            slots["text"] = f"CASE WHEN {e} IS NOT NULL THEN to_json(struct({e} AS v)) END"
+            return "text", f"CASE WHEN {e} IS NOT NULL THEN to_json(struct({e} AS v)) END"
         case _:
-            slots["text"] = f"cast({e} AS string)"
-    return f"struct({item} AS item, " + ", ".join(f"{v} AS {k}" for k, v in slots.items()) + ")"
+            return "text", f"cast({e} AS string)"
 
 
-def _unpivoted(df: DataFrame, keys: Sequence[str], base: int) -> DataFrame:
-    values = [_value(base + i, name(f.name), f.dataType) for i, f in _fields(df)]
-    if len(keys) > 1:
-        whole_key = f"to_json(struct({', '.join(map(name, keys))}), map('ignoreNullFields', 'false'))"
-        values.append(_value(base + len(values), whole_key, T.StringType()))
-    return df.selectExpr(f"inline(array({', '.join(values)}))")
-
-
-def _folded(values: DataFrame) -> DataFrame:
+def _folded(values: DataFrame, family: str) -> DataFrame:
     """Count equal values, then fold the distinct ones: (item, row_count, null_count, distinct_count, ...).
 
     Tasks count before they shuffle, so a frequent value costs one row per task, and what is shuffled is one
-    narrow row per distinct value. Copying each row once per distinct column, as a plain aggregate with several
-    distincts does, would carry every column along in every copy.
+    row of item and value per distinct value. A plain aggregate with several distincts would carry every column
+    along in every copy of a row.
     """
-    present = "(" + " OR ".join(f"{s} IS NOT NULL" for s in SLOTS) + ")"
-    number = "coalesce(number, cast(whole AS double))"
-    return values.groupBy("item", *SLOTS).count().groupBy("item").agg(*exprs(
-        "sum(count) AS row_count",
-        f"sum(CASE WHEN {present} THEN 0L ELSE count END) AS null_count",
-        f"count_if({present}) AS distinct_count",
+    number = AS_NUMBER.get(family, "cast(null AS double)")
+    whole = "v" if family == "whole" else "cast(null AS bigint)"
+    moment = "v" if family == "moment" else "cast(null AS timestamp_ntz)"
+    return values.groupBy("item", "v").count().groupBy("item").agg(*exprs(
+        "sum(count) AS row_count", "sum(CASE WHEN v IS NULL THEN count ELSE 0L END) AS null_count",
+        "count(v) AS distinct_count",
         f"min({number}) AS low", f"max({number}) AS high", f"sum({number} * count) AS total",
-        "min(whole) AS low_whole", "max(whole) AS high_whole",
-        "min(moment) AS low_moment", "max(moment) AS high_moment"))
+        f"min({whole}) AS low_whole", f"max({whole}) AS high_whole",
+        f"min({moment}) AS low_moment", f"max({moment}) AS high_moment"))
+
+
+def _whole_key(df: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
+    """Rows and distinct values of a key of several columns."""
+    counted = df.groupBy(*map(name, keys)).count().agg(*exprs(
+        "sum(count) AS row_count", "count(*) AS distinct_count"))
+    empty = [f"cast(null AS {t}) AS {p}{s}" for s, t in (("", "double"), ("_whole", "bigint"), ("_moment", "timestamp_ntz"))
+             for p in ("low", "high")]
+    return counted.selectExpr(f"{lit(item)} AS item", "row_count", "0L AS null_count", "distinct_count",
+                              "cast(null AS double) AS total", *empty)
 
 
 def _number(e: str) -> str:
@@ -92,29 +92,32 @@ def _moment(moment: str, micros: str) -> str:
 def profile_tables(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
     """Exact profiles of several tables ``(name, frame, key columns)`` at (table, column) grain.
 
-    All tables share one scan stage and one shuffle, whatever the number of columns. An empty table has no
-    values at all and still gets its columns.
+    Every column is read once, by the scan of its family; the families are shuffled and folded side by side in
+    one job. An empty table has no values at all and still gets its columns.
     """
-    labels, parts, base = [], [], 0
-    for table, df, keys in tables:
-        fields = _fields(df)
-        key_item = base + len(fields) if len(keys) > 1 else next(
-            (base + i for i, f in fields if f.name == keys[0]), None)
-        parts.append(_unpivoted(df, keys, base))
-        labels += [(base + i, table, i, f.name, type_label(f.dataType), is_numeric(f.dataType), base + i == key_item)
-                   for i, f in fields]
+    labels, families, folded = [], {}, []
+    for t, (table, df, keys) in enumerate(tables):
+        items: dict[str, list[str]] = {}
+        for i, f in _fields(df):
+            family, value = _value(name(f.name), f.dataType)
+            items.setdefault(family, []).append(f"{value} AS `{t}.{i}`")
+            labels.append((f"{t}.{i}", table, i, f.name, type_label(f.dataType), is_numeric(f.dataType), (f.name,) == tuple(keys)))
+        for family, values in items.items():
+            # a plain projection of the family's columns, turned into rows
+            families.setdefault(family, []).append(df.selectExpr(*values).unpivot(
+                [], [name(v.rsplit("`", 2)[1]) for v in values], "item", "v"))
         if len(keys) > 1:
-            labels.append((key_item, table, None, None, None, False, True))
-        base += len(fields) + 1
+            labels.append((f"{t}.key", table, None, None, None, False, True))
+            folded.append(_whole_key(df, keys, f"{t}.key"))
+    folded += [_folded(reduce(DataFrame.unionByName, parts), family) for family, parts in families.items()]
     frame = local_frame(tables[0][1].sparkSession, labels,
-                        "item int, table string, column_idx int, column string, dtype string, is_number boolean, "
+                        "item string, table string, column_idx int, column string, dtype string, is_number boolean, "
                         "is_key boolean")
-    measured = _folded(reduce(DataFrame.unionByName, parts))
     rows, distinct = "coalesce(row_count, 0L)", "coalesce(distinct_count, 0L)"
     # the window spans one row per column of a table, never its data
     surplus = f"max(CASE WHEN is_key THEN {rows} - {distinct} END) OVER (PARTITION BY table)"
-    return frame.join(measured, "item", "left").selectExpr("*", f"{surplus} AS duplicate_keys").filter(
-        "column IS NOT NULL").selectExpr(
+    measured = frame.join(reduce(DataFrame.unionByName, folded), "item", "left")
+    return measured.selectExpr("*", f"{surplus} AS duplicate_keys").filter("column IS NOT NULL").selectExpr(
         "table", "column_idx", "column", "dtype", f"{rows} AS row_count", "coalesce(null_count, 0L) AS null_count",
         percent_of("coalesce(null_count, 0L)", rows, 2) + " AS null_pct", f"{distinct} AS distinct_count",
         _number("low") + " AS min_value", _number("high") + " AS max_value",
