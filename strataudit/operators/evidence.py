@@ -125,7 +125,8 @@ def lost_groups(before: DataFrame, after: DataFrame, column: str) -> DataFrame:
 PADDED = "lpad(low, length(raw_id), '0') = raw_id"
 
 
-def changed_keys(before: DataFrame, after: DataFrame, row_key: str, column: str, segment: str | None) -> DataFrame:
+def changed_keys(before: DataFrame, after: DataFrame, row_key: str, column: str, segment: str | None,
+                 unique_before: bool = False, unique_after: bool = False) -> DataFrame:
     """Keys that differ between two layers for the same row, counted without pairing rows up.
 
     One row per distinct (row key, key before, segment) whose row still exists afterwards: ``changed`` is the
@@ -134,18 +135,27 @@ def changed_keys(before: DataFrame, after: DataFrame, row_key: str, column: str,
 
     A row key normally has one later key, and then a single join decides. Where a row key has several, the
     differing ones are counted as "all minus equal" and the padded ones are found by equality on the possible
-    spellings, so that no two sets of keys of one row are ever multiplied.
+    spellings, so that no two sets of keys of one row are ever multiplied. Where a profile has shown that row keys
+    are unique, say so: the side then goes into the join as it is, without a shuffle of its own.
     """
     r = before.selectExpr(f"{name(row_key)} AS row_key", f"{strip(f'cast({name(column)} AS string)')} AS raw_id",
-                          f"{_segment(segment)} AS segment").filter("raw_id IS NOT NULL").distinct()
+                          f"{_segment(segment)} AS segment").filter("raw_id IS NOT NULL")
     s = after.selectExpr(f"{name(row_key)} AS row_key", f"cast({name(column)} AS string) AS stg_id").filter(
-        "stg_id IS NOT NULL").distinct()
+        "stg_id IS NOT NULL")
+    r = r if unique_before else r.distinct()
+    if unique_after:
+        return _changed_singly(r.join(s.selectExpr("row_key", "stg_id AS low"), "row_key"))
+    s = s.distinct()
     per_row = s.groupBy("row_key").agg(*exprs(
         "count(*) AS staged", "min(stg_id) AS low", "max(stg_id) AS high"))
     joined = r.join(per_row, "row_key")
-    single = joined.filter("staged = 1 AND raw_id <> low").selectExpr(
+    return _changed_singly(joined.filter("staged = 1")).unionByName(
+        _changed_among_several(joined.filter("staged > 1"), s))
+
+
+def _changed_singly(joined: DataFrame) -> DataFrame:
+    return joined.filter("raw_id <> low").selectExpr(
         "row_key", "raw_id", "segment", "1L AS changed", f"cast({PADDED} AS bigint) AS padded", "low AS staged_id")
-    return single.unionByName(_changed_among_several(joined.filter("staged > 1"), s))
 
 
 def _changed_among_several(joined: DataFrame, staged: DataFrame) -> DataFrame:

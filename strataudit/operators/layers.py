@@ -119,6 +119,14 @@ def loan_portfolio(loans: DataFrame, customers: DataFrame) -> DataFrame:
     return joined.selectExpr(*[f"{e} AS {c}" for c, e in wanted.items() if c in present])
 
 
+def build_layers(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Staging and final tables over ``raw.customers`` and ``raw.loans``, as lazy frames by ``layer.table``."""
+    customers, loans = clean_customers(raw["raw.customers"]), clean_loans(raw["raw.loans"])
+    portfolio = loan_portfolio(loans, customers)
+    return {**raw, "staging.customers": customers, "staging.loans": loans, "final.loan_portfolio": portfolio,
+            "final.portfolio_summary": portfolio_summary(portfolio)}
+
+
 def portfolio_summary(portfolio: DataFrame) -> DataFrame:
     """Key figures by loan type."""
     return portfolio.groupBy("loan_type").agg(*exprs(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,14 +12,20 @@ from strataudit.functions import currency_to_double, exprs, first_arrival, lit,
 from strataudit.operators.layers import excluded
 
 
-def expected_keys(df: DataFrame, rule: DistinctRule) -> DataFrame:
+def expected_keys(df: DataFrame, rule: DistinctRule, unique: bool = False) -> DataFrame:
     """One row: rows, distinct keys that should remain, distinct keys excluded, surplus keys.
 
+    ``unique`` tells that a profile found every key present once; counting rows is enough then.
+
     Each key is reduced to two flags before anything is counted, so that several distinct counts need neither
     a copy of the rows per count nor one task for a key that fills a third of the table.
     """
     key = strip(f"cast({name(rule.key)} AS string)") if rule.strip_key else name(rule.key)
     out = excluded(rule.exclusion) if rule.exclusion else "false"
+    if unique and not rule.strip_key:
+        return df.selectExpr(f"{out} AS out").agg(*exprs(
+            "count(*) AS source_rows", "count_if(NOT out) AS expected_rows", "count_if(out) AS excluded_keys",
+            "0L AS surplus_keys"))
     per_key = df.selectExpr(f"{key} AS k", f"{out} AS out").groupBy("k").agg(*exprs(
         "count(*) AS n", "max(out) AS any_out", "max(NOT out) AS any_in"))
     return per_key.agg(*exprs(
@@ -29,16 +35,20 @@ def expected_keys(df: DataFrame, rule: DistinctRule) -> DataFrame:
         "coalesce(sum(n), 0L) - count_if(k IS NOT NULL) AS surplus_keys"))
 
 
-def one_value_per_key(df: DataFrame, rule: MeasureRule, segment: str) -> DataFrame:
-    """Segment and readable amount of each key that is not excluded, first arrival first."""
+def one_value_per_key(df: DataFrame, rule: MeasureRule, segment: str, unique: bool = False) -> DataFrame:
+    """Segment and readable amount of each key that is not excluded, first arrival first. With ``unique`` keys
+    every row is the only one of its key."""
     kept = df.filter(f"NOT {excluded(rule.exclusion)}") if rule.exclusion else df
     order = INGEST_SEQ if INGEST_SEQ in df.columns else None
     amount = currency_to_double(name(rule.measure), df.schema[rule.measure].dataType)
+    if unique:
+        return kept.selectExpr(f"{name(segment)} AS segment", f"{amount} AS amount")
     return kept.groupBy(name(rule.key)).agg(*exprs(
         f"{first_arrival(name(segment), order)} AS segment", f"{first_arrival(amount, order)} AS amount"))
 
 
-def segment_totals(layers: Mapping[str, DataFrame], rule: MeasureRule, segment: str) -> DataFrame:
+def segment_totals(layers: Mapping[str, DataFrame], rule: MeasureRule, segment: str,
+                   unique: Collection[str] = ()) -> DataFrame:
     """Totals per segment, one column ``t0, t1, ...`` per table of the rule.
 
     The tables meet in a grouping rather than in joins: a segment that exists on one side only, or has no name,
@@ -48,7 +58,7 @@ def segment_totals(layers: Mapping[str, DataFrame], rule: MeasureRule, segment:
     for i, table in enumerate(rule.tables):
         df = layers[table]
         if i == 0:
-            amounts = one_value_per_key(df, rule, segment)
+            amounts = one_value_per_key(df, rule, segment, table in unique)
         else:
             amount = to_double(name(rule.measure), df.schema[rule.measure].dataType)
             amounts = df.selectExpr(f"{name(segment)} AS segment", f"{amount} AS amount")

@@ -11,7 +11,7 @@ A problem is reported where it first appears. Tables further down that show it t
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -36,7 +36,7 @@ Layers = Mapping[str, DataFrame]
 
 FACTS_DDL = ("run_id string, kind string, rule int, step int, a bigint, b bigint, c bigint, d bigint, "
              "x double, y double, z double, label string")
-# Values listed inside a finding; the complete set is a frame of its own (see ``lost_groups``).
+# Values listed inside a finding (reports print fewer); ``lost_values`` of a diagnosis has the complete set.
 LISTED_VALUES = 100
 
 
@@ -55,9 +55,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 # ---------------------------------------------------------------- facts: one pass per rule
 
-def key_changes(layers: Layers, cfg: AuditConfig, rule_idx: int) -> DataFrame:
+def key_changes(layers: Layers, cfg: AuditConfig, rule_idx: int, unique: Collection[str] = ()) -> DataFrame:
     rule = cfg.key_rules[rule_idx]
-    return E.changed_keys(layers[rule.before], layers[rule.after], rule.row_key, rule.column, cfg.segment_column)
+
+    def is_unique(table: str) -> bool:
+        return table in unique and cfg.contract(table).keys == (rule.row_key,)
+
+    return E.changed_keys(layers[rule.before], layers[rule.after], rule.row_key, rule.column, cfg.segment_column,
+                          is_unique(rule.before), is_unique(rule.after))
 
 
 def _facts(df: DataFrame, run_id: str, kind: str, rule: int, **given: str) -> DataFrame:
@@ -67,10 +72,11 @@ def _facts(df: DataFrame, run_id: str, kind: str, rule: int, **given: str) -> Da
 
 
 def layer_facts(layers: Layers, cfg: AuditConfig, run_id: str, changes: Mapping[int, DataFrame],
-                totals: Mapping[int, DataFrame]) -> DataFrame:
+                totals: Mapping[int, DataFrame], unique: Collection[str] = ()) -> DataFrame:
     """The figures the rules compare, one row per rule (and step), from one job.
 
-    ``changes`` and ``totals`` are the per-segment frames of the key and measure rules.
+    ``changes`` and ``totals`` are the per-segment frames of the key and measure rules; ``unique`` names the
+    tables whose profile shows no surplus key.
     """
     parts = []
     for i, per_segment in changes.items():
@@ -78,7 +84,8 @@ def layer_facts(layers: Layers, cfg: AuditConfig, run_id: str, changes: Mapping[
                                         E.sole_segment("changed", cfg.segment_column) + " AS sole"))
         parts.append(_facts(summed, run_id, "key", i, a="coalesce(changed, 0)", b="coalesce(padded, 0)", label="sole"))
     for i, rule in enumerate(cfg.distinct_rules):
-        parts.append(_facts(R.expected_keys(layers[rule.before], rule), run_id, "distinct", i,
+        known = rule.before in unique and cfg.contract(rule.before).keys == (rule.key,)
+        parts.append(_facts(R.expected_keys(layers[rule.before], rule, known), run_id, "distinct", i,
                             a="source_rows", b="expected_rows", c="excluded_keys", d="surplus_keys"))
     for i, rule in enumerate(cfg.measure_rules):
         parts.append(_facts(R.measure_drift(totals[i], rule), run_id, "measure", i, step="step",
@@ -362,6 +369,9 @@ def attach_details(findings: DataFrame, rows: DataFrame) -> DataFrame:
     return joined.selectExpr(*[c for c in FINDING if c != "evidence"], f"{evidence_struct(**fields)} AS evidence")
 
 
+LOST_DDL = "run_id string, table string, value string"
+
+
 class Details:
     """Figures, samples and segments behind the findings that need a look at the data.
 
@@ -369,11 +379,13 @@ class Details:
     """
 
     def __init__(self, layers: Layers, cfg: AuditConfig, run_id: str, changes: Mapping[int, DataFrame],
-                 totals: Mapping[int, DataFrame], flagged: list[Row]):
+                 totals: Mapping[int, DataFrame], flagged: list[Row], unique: Collection[str] = ()):
+        self.unique = unique
         self.layers, self.cfg, self.run_id = layers, cfg, run_id
         self.changes, self.totals, self.flagged = changes, totals, flagged
         self.rows: list[DataFrame] = []
         self.segments: list[DataFrame] = []
+        self.lost: list[DataFrame] = []
         self.kept: list[DataFrame] = []
         self._columns()
         for f in flagged:
@@ -455,7 +467,7 @@ class Details:
 
     def _key_integrity(self, f: Row) -> None:
         rule = self.cfg.key_rules[f.item_idx]
-        changed = key_changes(self.layers, self.cfg, f.item_idx)
+        changed = key_changes(self.layers, self.cfg, f.item_idx, self.unique)
         self._row(E.changed_key_examples(changed), f, "sample", text="value")
         orphans = E.orphan_keys(self.layers[rule.after], self.layers[rule.reference], rule.column, None)
         self._row(orphans.agg({"unmatched_rows": "sum"}), f, "unmatched_rows", number="`sum(unmatched_rows)`")
@@ -479,6 +491,8 @@ class Details:
         padded = E.zero_padded_matches(orphans, reference, rule.column)
         self._row(padded.agg({"unmatched_rows": "sum"}), f, "padded", number="coalesce(`sum(unmatched_rows)`, 0L)")
         lost = E.lost_groups(before, self.layers[rule.after], rule.group_column)
+        self.lost.append(lost.selectExpr(f"{lit(self.run_id)} AS run_id", f"{lit(f.table)} AS table",
+                                         f"cast({name(rule.group_column)} AS string) AS value"))
         listed = lost.orderBy(name(rule.group_column)).limit(LISTED_VALUES)
         self._row(listed, f, "missing", text=f"cast({name(rule.group_column)} AS string)")
         if segment:
@@ -493,5 +507,8 @@ class Details:
     def detail_rows(self) -> DataFrame | None:
         return _union(self.rows) if self.rows else None
 
+    def lost_frame(self, spark: SparkSession) -> DataFrame:
+        return _union(self.lost) if self.lost else local_frame(spark, [], LOST_DDL)
+
     def segment_frame(self, spark: SparkSession) -> DataFrame:
         return _union(self.segments) if self.segments else local_frame(spark, [], SEGMENT_DDL)

@@ -19,13 +19,14 @@ from strataudit.config import (
     STAGE_TRANSITION,
     UNKNOWN_PRIORITY,
     AuditConfig,
+    MeasureRule,
 )
 from strataudit.functions import exprs, lit
 from strataudit.operators import reconcile as R
 from strataudit.operators.profile import profile_layers, table_profiles
-from strataudit.plans.checks import Checks, Details, Layers, attach_details, key_changes, layer_facts
+from strataudit.plans.checks import LOST_DDL, Checks, Details, Layers, attach_details, key_changes, layer_facts
 from strataudit.plans.findings import SEGMENT_DDL
-from strataudit.sources.local import as_local, local_frame, together
+from strataudit.sources.local import as_local, local_frame
 
 SEGMENTS_IN_REPORT = 4
 
@@ -165,13 +166,14 @@ def evaluate(runs: DataFrame, roots: DataFrame, truth: DataFrame) -> DataFrame:
 @dataclass
 class Diagnosis:
     """Results of one run. ``profiles`` and ``findings`` are bounded by the contracts and held as part of their
-    plans. ``segments`` has a row per segment of each finding and stays lazy; until :meth:`close` it reads
-    aggregates that are already there, afterwards it computes them again."""
+    plans. ``segments`` has a row per segment of each finding and ``lost_values`` a row per group that did not reach
+    the next layer; both stay lazy, and until :meth:`close` they read aggregates that are already there."""
 
     run_id: str
     profiles: DataFrame
     findings: DataFrame
     segments: DataFrame
+    lost_values: DataFrame
     kept: list[DataFrame] = field(default_factory=list)
 
     def ranked(self) -> DataFrame:
@@ -196,6 +198,10 @@ def top_segments(segments: DataFrame, n: int = SEGMENTS_IN_REPORT) -> DataFrame:
     return segments.selectExpr("*", f"row_number() OVER ({w}) AS position").filter(f"position <= {n}")
 
 
+def _keyed(cfg: AuditConfig, rule: MeasureRule) -> bool:
+    return cfg.contract(rule.tables[0]).keys == (rule.key,)
+
+
 def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct: str = "exact") -> Diagnosis:
     """Profile the layers, run the checks, and explain what they flag.
 
@@ -211,22 +217,23 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
         return kept[-1]
 
     try:
-        changes = {i: keep(key_changes(layers, cfg, i).groupBy("segment").agg(*exprs(
+        profiles = as_local(profile_layers(layers, cfg, run_id, distinct))
+        tables = as_local(profiles.select("run_id", "layer", "table", "row_count", "duplicate_keys").distinct())
+        # a table without surplus keys needs no de-duplication in any of the comparisons below
+        unique = {r.table for r in tables.filter("duplicate_keys = 0").collect()}
+        changes = {i: keep(key_changes(layers, cfg, i, unique).groupBy("segment").agg(*exprs(
             "sum(changed) AS changed", "sum(padded) AS padded")).filter("changed > 0"))
             for i in range(len(cfg.key_rules))}
-        totals = {i: keep(R.segment_totals(layers, rule, cfg.segment_column))
+        totals = {i: keep(R.segment_totals(layers, rule, cfg.segment_column, unique if _keyed(cfg, rule) else ()))
                   for i, rule in enumerate(cfg.measure_rules)}
-        profiles, facts = together(
-            lambda: as_local(profile_layers(layers, cfg, run_id, distinct)),
-            lambda: as_local(layer_facts(layers, cfg, run_id, changes, totals)))
-        tables = as_local(profiles.select("run_id", "layer", "table", "row_count", "duplicate_keys").distinct())
+        facts = as_local(layer_facts(layers, cfg, run_id, changes, totals, unique))
         findings = as_local(Checks(spark, cfg, profiles, facts, tables).all())
         flagged = findings.filter(f"severity <> '{INFO}'").collect()
-        segments = local_frame(spark, [], SEGMENT_DDL)
+        segments, lost = local_frame(spark, [], SEGMENT_DDL), local_frame(spark, [], LOST_DDL)
         if flagged:
-            details = Details(layers, cfg, run_id, changes, totals, flagged)
+            details = Details(layers, cfg, run_id, changes, totals, flagged, unique)
             kept += details.kept
-            segments = details.segment_frame(spark)
+            segments, lost = details.segment_frame(spark), details.lost_frame(spark)
             rows = details.detail_rows()
             if rows is not None:
                 findings = as_local(attach_details(findings, as_local(rows)))
@@ -234,7 +241,7 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
         for df in kept:
             df.unpersist()
         raise
-    return Diagnosis(run_id, profiles, findings, segments, kept)
+    return Diagnosis(run_id, profiles, findings, segments, lost, kept)
 
 
 def quality_gate(diagnoses: DataFrame) -> str:

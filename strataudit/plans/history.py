@@ -7,14 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataudit.config import TRANSITIONS
+from strataudit.config import INFO, TRANSITIONS
 from strataudit.functions import exprs, lit
-from strataudit.plans.diagnosis import rank_failures
+from strataudit.plans.findings import EVIDENCE_DDL
 
-REPORT_DDL = ("run_id string, status string, root_cause struct<category: string, severity: string, transition: string, "
-              "table: string, column: string, message: string, expected: string, actual: string>, "
-              "symptom_count bigint, symptoms array<struct<category: string, severity: string, transition: string, "
-              "table: string, column: string, message: string, expected: string, actual: string>>, "
+_FINDING = ("struct<category: string, severity: string, transition: string, table: string, column: string, "
+            f"message: string, expected: string, actual: string, evidence: {EVIDENCE_DDL}>")
+REPORT_DDL = (f"run_id string, status string, root_cause {_FINDING}, symptom_count bigint, symptoms array<{_FINDING}>, "
               "expected_changes array<string>, checks map<string, string>, "
               "layers map<string, struct<rows: bigint, duplicate_keys: bigint>>, "
               "impact struct<final_loan_rows: bigint, final_distinct_loans: bigint, final_total_balance: double, "
@@ -66,12 +65,14 @@ def layer_flow(profiles: DataFrame, findings: DataFrame, tables: Mapping[str, st
     sizes = profiles.selectExpr("*", f"{layer_idx} AS layer_idx").filter("layer_idx IS NOT NULL").groupBy(
         "run_id", "layer", "table", "layer_idx").agg(*exprs(
             "max(row_count) AS rows", f"max(CASE WHEN column = {lit(measure)} THEN sum_value END) AS balance"))
-    marks = rank_failures(findings).groupBy("run_id", "transition").agg(*exprs("min(rank) AS best"))
-    flow = sizes.selectExpr("*", f"{transition} AS transition",
-                            "rows - lag(rows) OVER (PARTITION BY run_id ORDER BY layer_idx) AS delta")
-    return flow.join(marks, ["run_id", "transition"], "left").selectExpr(
-        "run_id", "layer_idx", "layer", "transition", "rows", "delta", "balance",
-        "CASE WHEN best = 1 THEN 'root' WHEN best > 1 THEN 'symptom' ELSE 'ok' END AS mark")
+    failing = findings.filter(f"severity <> '{INFO}'").groupBy("run_id", "transition").agg(*exprs("count(*) AS failures"))
+    joined = sizes.selectExpr("*", f"{transition} AS transition").join(failing, ["run_id", "transition"], "left")
+    # one row per layer and run in these windows; the root lies at the earliest step that fails
+    w = "OVER (PARTITION BY run_id ORDER BY layer_idx)"
+    return joined.selectExpr(
+        "run_id", "layer_idx", "layer", "transition", "rows", f"rows - lag(rows) {w} AS delta", "balance",
+        "CASE WHEN failures IS NULL THEN 'ok' WHEN layer_idx = min(CASE WHEN failures > 0 THEN layer_idx END) "
+        f"{w} THEN 'root' ELSE 'symptom' END AS mark")
 
 
 def audit_runs(runs: DataFrame, diagnoses: DataFrame, reports: DataFrame, gates: DataFrame,
@@ -118,3 +119,9 @@ def diagnosis_rows(report: DataFrame, created_at: str) -> DataFrame:
 def load_report(diagnoses: DataFrame) -> DataFrame:
     """Rebuild stored diagnoses from their JSON."""
     return diagnoses.selectExpr(f"from_json(report, '{REPORT_DDL}') AS r").select("r.*")
+
+
+def report_rows(notes: DataFrame, created_at: str) -> DataFrame:
+    """Rendered notes in the shape they are stored in."""
+    return notes.selectExpr("run_id", f"cast({lit(created_at)} AS timestamp_ntz) AS created_at", "source", "author",
+                            "grounded", "seconds", "note", "markdown")

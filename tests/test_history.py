@@ -54,12 +54,16 @@ def test_all_stages(spark, runs, sources):
     stored = history.of_run("diagnoses", run)
     assert (stored.first().status, stored.first().root_cause) == ("FAILED", "DUPLICATE_ROWS")
     rebuilt, report = H.load_report(stored).first(), d.report().first()
-    assert rebuilt.root_cause.message == report.root_cause.message
+    assert rebuilt.root_cause == report.root_cause
     assert [s.category for s in rebuilt.symptoms] == [s.category for s in report.symptoms]
     assert rebuilt.checks == report.checks and rebuilt.impact == report.impact and rebuilt.layers == report.layers
 
     notes = N.render_reports(d.profiles, d.findings, d.segments)
     history.write_markdown(notes)
+    history.replace_run("incident_reports", H.report_rows(notes, "2026-01-01 00:00:00"))
+    assert history.of_run("incident_reports", run).first().source == "template"
+    assert runs.store.preview("final.portfolio_summary").count() == 5 == runs.store.row_count("final.portfolio_summary")
+    assert runs.store.read_or_empty("final.nothing", "a int").count() == 0
     text = spark.read.option("wholetext", "true").text(history.path("markdown")).filter("run = 'r1'").first().value
     assert text.startswith("# Layer incident report - run r1")
 

@@ -85,6 +85,7 @@ def test_dropped_key_evidence(diagnosed):
     assert loss.evidence.unmatched_rows == int(loss.expected) - int(loss.actual) == 2900
     assert loss.evidence.match_if_zero_padded == 2900
     assert loss.evidence.loan_types_missing_from_final == ["CREDIT_CARD"]
+    assert [r.value for r in d.lost_values.collect()] == ["CREDIT_CARD"]
     worst = d.segments.filter("verdict = 'measures'").orderBy("magnitude", ascending=False).first()
     assert worst.segment == "CARD_PLATFORM" and worst.actual == 0
 

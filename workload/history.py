@@ -1,4 +1,4 @@
-"""Run history derived from the ``events`` table: one run per user and day, one finding per event.
+"""Run history derived from the ``events`` table: one run per user and day.
 
 Every text runs unchanged on Spark and on the oracle engine.
 """
@@ -20,7 +20,13 @@ SELECT {RUN_ID} AS run_id, {SCENARIO} AS scenario, min(ts) AS started_at,
 FROM events GROUP BY {RUN_ID}, {SCENARIO}
 """
 
-# Eight failure categories and three transitions, spread over the events; views are expected changes.
+# Eight failure categories and three transitions, spread over the events; views are expected changes. As contracts
+# guarantee for real runs, a run has at most one finding per category and transition.
+CATEGORY = """CASE WHEN event_type = 'view' THEN 'EXPECTED_CHANGE' WHEN event_id % 8 = 0 THEN 'SCHEMA_DRIFT'
+    WHEN event_id % 8 = 1 THEN 'JOIN_KEY_MISMATCH' WHEN event_id % 8 = 2 THEN 'DUPLICATE_ROWS'
+    WHEN event_id % 8 = 3 THEN 'NULL_SPIKE' WHEN event_id % 8 = 4 THEN 'ROW_INFLATION'
+    WHEN event_id % 8 = 5 THEN 'ROW_LOSS' WHEN event_id % 8 = 6 THEN 'MEASURE_DRIFT'
+    ELSE 'DISTRIBUTION_SHIFT' END"""
 FINDINGS_SQL = f"""
 SELECT run_id, check_idx, item_idx, verdict, verdict AS "check", category, severity,
   CASE transition_idx WHEN 0 THEN 'source->raw' WHEN 1 THEN 'raw->staging' ELSE 'staging->final' END AS transition,
@@ -39,14 +45,11 @@ FROM (SELECT *,
     CASE category WHEN 'SCHEMA_DRIFT' THEN 'schema' WHEN 'JOIN_KEY_MISMATCH' THEN 'key_integrity'
       WHEN 'DUPLICATE_ROWS' THEN 'uniqueness' WHEN 'NULL_SPIKE' THEN 'nulls' WHEN 'MEASURE_DRIFT' THEN 'measures'
       WHEN 'DISTRIBUTION_SHIFT' THEN 'distribution' ELSE 'row_counts' END AS verdict
-  FROM (SELECT {RUN_ID} AS run_id, cast(event_id AS int) AS item_idx, cast(event_id % 3 AS int) AS transition_idx,
-      CASE WHEN event_type = 'view' THEN 'EXPECTED_CHANGE' WHEN event_id % 8 = 0 THEN 'SCHEMA_DRIFT'
-        WHEN event_id % 8 = 1 THEN 'JOIN_KEY_MISMATCH' WHEN event_id % 8 = 2 THEN 'DUPLICATE_ROWS'
-        WHEN event_id % 8 = 3 THEN 'NULL_SPIKE' WHEN event_id % 8 = 4 THEN 'ROW_INFLATION'
-        WHEN event_id % 8 = 5 THEN 'ROW_LOSS' WHEN event_id % 8 = 6 THEN 'MEASURE_DRIFT'
-        ELSE 'DISTRIBUTION_SHIFT' END AS category,
-      CASE WHEN event_type = 'view' THEN 'info' WHEN value > 20 THEN 'critical' ELSE 'warning' END AS severity
-    FROM events WHERE event_type <> 'signup') e) f
+  FROM (SELECT {RUN_ID} AS run_id, cast(min(event_id) AS int) AS item_idx, cast(event_id % 3 AS int) AS transition_idx,
+      {CATEGORY} AS category,
+      CASE WHEN {CATEGORY} = 'EXPECTED_CHANGE' THEN 'info' WHEN max(value) > 20 THEN 'critical' ELSE 'warning' END
+        AS severity
+    FROM events WHERE event_type <> 'signup' GROUP BY {RUN_ID}, cast(event_id % 3 AS int), {CATEGORY}) e) f
 """
 
 # Runs with a single event were never diagnosed; a click wrote a report; an error failed the gate.

@@ -327,8 +327,8 @@ judged AS (SELECT run_id, draft,
   FROM s4 JOIN roots USING (run_id))
 """
 
-NOTES = HIST + """, drafts AS (SELECT run_id, string_agg(event_type || ' loans balance', ' ') AS body FROM
-  (SELECT *, """ + W.RUN_ID + """ AS run_id FROM events) e WHERE event_type = 'error' GROUP BY run_id),
+NOTES = HIST + """, drafts AS (SELECT DISTINCT run_id FROM
+  (SELECT *, """ + W.RUN_ID + """ AS run_id FROM events) e WHERE event_type = 'error'),
 noted AS (SELECT r.run_id, n.run_id IS NOT NULL AS failed, d.run_id IS NOT NULL AS drafted, d.run_id IS NOT NULL AND
   split_part(n."table", '.', 2) = 'loans' AND (n."column" IS NULL OR n."column" = 'balance') AS grounded
   FROM runs r LEFT JOIN roots n USING (run_id) LEFT JOIN drafts d USING (run_id))

@@ -537,7 +537,7 @@ def fill_sections(spark, sf):
 
 NOTE_DRAFTS_SQL = f"""
 SELECT run_id, 'writer' AS author, cast(1.5 AS double) AS seconds,
-  '## Summary' || chr(10) || 'seen: ' || array_join(array_sort(collect_list(event_type || ' loans balance')), ' ') AS text
+  '## Summary' || chr(10) || cast(count(*) AS string) || ' errors hit loans balance' AS text
 FROM (SELECT *, {W.RUN_ID} AS run_id FROM events) e WHERE event_type = 'error' GROUP BY run_id
 """
 
