@@ -49,13 +49,11 @@ def repeat_recent(df: DataFrame, date_column: str, as_of: str, days: int = 365)
     return df.union(df.filter(recent(date_column, as_of, days)))
 
 
-def messy_case(df: DataFrame, column: str, key: str, lower_pct: int = 10, pad_pct: int = 5,
-               seed: int = 42) -> DataFrame:
-    """Some codes arrive in lower case, some with a trailing blank."""
+def messy_case(df: DataFrame, column: str, lower_rows: str, pad_rows: str) -> DataFrame:
+    """Some codes arrive in lower case, some with a trailing blank; see :func:`hashed_share` for the conditions."""
     c = name(column)
-    lowered = f"CASE WHEN {hashed_share(key, lower_pct, seed)} THEN lower({c}) ELSE {c} END"
-    return _replaced(df, column, f"CASE WHEN {hashed_share(key, pad_pct, seed + 1)} THEN concat({lowered}, ' ') "
-                                 f"ELSE {lowered} END")
+    lowered = f"CASE WHEN {lower_rows} THEN lower({c}) ELSE {c} END"
+    return _replaced(df, column, f"CASE WHEN {pad_rows} THEN concat({lowered}, ' ') ELSE {lowered} END")
 
 
 def truth(df: DataFrame, run_id: str, scenario: str, injected_at: str, column: str, rows: str,

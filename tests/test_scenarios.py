@@ -162,7 +162,7 @@ def test_findings_do_not_depend_on_partitioning(spark, sf_small, partitions):
 def test_hashed_mutations_do_not_depend_on_partitioning(spark, sf_small):
     loans = D.raw_tables(spark, sf_small)["raw.loans"]
     for edit in (lambda d: M.null_out(d, "balance", M.hashed_share("loan_id", 35)),
-                 lambda d: M.messy_case(d, "status", "loan_id")):
+                 lambda d: M.messy_case(d, "status", M.hashed_share("loan_id", 10), M.hashed_share("loan_id", 5, 43))):
         a, b = edit(loans), edit(loans.repartition(13))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     share = M.null_out(loans, "balance", M.hashed_share("loan_id", 35)).filter("balance IS NULL").count() / loans.count()

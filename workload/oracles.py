@@ -5,6 +5,7 @@ The texts are written from the rules, not from the Spark plans: layers as CTEs,
 
 from __future__ import annotations
 
+from strataudit.plans.reports import FIX_PLAYBOOK
 from workload import history as W
 from workload.domain import RAW_CUSTOMERS_SQL, RAW_LOANS_SQL, SCENARIOS, SOURCES
 from workload.queries import DRAFT_ROOTS_SQL, DRAFTS_SQL
@@ -310,8 +311,8 @@ statuses AS (SELECT r.run_id, CASE WHEN count(f.run_id) > 0 THEN 'FAILED' ELSE '
   FROM runs r LEFT JOIN ranked f USING (run_id) GROUP BY r.run_id),
 diagnoses AS (SELECT s.run_id, s.status, c.category AS root_cause FROM statuses s JOIN diagnosed USING (run_id) LEFT JOIN roots c USING (run_id))
 """
-VERDICT_NAMES = ", ".join(f"('{v}')" for v in ("schema", "key_integrity", "uniqueness", "nulls", "row_counts", "measures",
-                                               "distribution"))
+VERDICT_ORDER = ("schema", "key_integrity", "uniqueness", "nulls", "row_counts", "measures", "distribution")
+VERDICT_NAMES = ", ".join(f"('{v}')" for v in VERDICT_ORDER)
 HEADINGS = ("Summary", "Where it broke", "Root cause", "Downstream impact", "Recommended fix")
 
 JUDGED = rf"""WITH drafts AS ({DRAFTS_SQL}), roots AS ({DRAFT_ROOTS_SQL}),
@@ -339,6 +340,68 @@ SELECT run_id, CASE WHEN failed THEN 'FAILED' ELSE 'HEALTHY' END AS status,
     WHEN NOT grounded THEN 'draft did not name the root-cause table/column - used template'
     ELSE 'filled from template: Where it broke, Root cause, Downstream impact, Recommended fix' END AS note FROM noted"""
 
+# ---------------------------------------------------------------- report texts
+
+def _playbook(style: str) -> str:
+    rows = []
+    for category, steps in FIX_PLAYBOOK.items():
+        lines = [f"{i}. {t}" if style == "numbered" else f"  - {t}" for i, t in enumerate(steps, 1)]
+        rows.append("('" + category + "', '" + "' || chr(10) || '".join(t.replace("'", "''") for t in lines) + "')")
+    return f"(VALUES {', '.join(rows)}) b(category, steps)"
+
+
+def _shown(e: str) -> str:
+    return f"""CASE WHEN verdict IN ('uniqueness', 'row_counts') THEN format('{{:,}}', cast({e} AS bigint))
+    WHEN verdict = 'measures' THEN format('{{:,.2f}}', cast({e} AS double)) ELSE {e} END"""
+
+
+TEXTS = HIST + f""", described AS (SELECT *, "table" || coalesce('.' || "column", '') AS place FROM ranked),
+texts AS (SELECT *, '[' || category || '] at step ' || transition || ', ' || place || ': ' || message || chr(10) || '  expected: ' || {_shown('expected')}
+  || ' | actual: ' || {_shown('actual')} AS body FROM described),
+notes AS (SELECT run_id, count(*) - 1 AS n, any_value(category) FILTER (WHERE rank = 1) AS category,
+  any_value(transition) FILTER (WHERE rank = 1) AS transition, any_value(place) FILTER (WHERE rank = 1) AS place,
+  any_value(message) FILTER (WHERE rank = 1) AS message, any_value(body) FILTER (WHERE rank = 1) AS root_body,
+  coalesce(string_agg('- ' || message || ' (' || transition || ')', chr(10) ORDER BY rank) FILTER (WHERE rank > 1), '- none') AS impact,
+  coalesce(string_agg(body, chr(10) ORDER BY rank) FILTER (WHERE rank > 1), '  none') AS symptoms,
+  string_agg(body, chr(10) || chr(10) ORDER BY rank) AS bodies FROM texts GROUP BY run_id),
+expecting AS (SELECT run_id, string_agg('- ' || message, chr(10) ORDER BY check_idx, item_idx) AS bullets,
+  string_agg('  ' || message, chr(10) ORDER BY check_idx, item_idx) AS lines FROM found WHERE severity = 'info' GROUP BY run_id)
+"""
+GAP = "chr(10) || chr(10)"
+REPORT_TEXT = TEXTS + f""", drafts AS (SELECT run_id, count(*) AS errors FROM (SELECT *, {W.RUN_ID} AS run_id FROM events) e
+  WHERE event_type = 'error' GROUP BY run_id),
+parts AS (SELECT r.run_id, n.*  EXCLUDE (run_id), d.errors, e.bullets, b.steps,
+  errors IS NOT NULL AND split_part(place, '.', 2) = 'loans' AND split_part(place, '.', 3) IN ('', 'balance') AS grounded,
+  '## Where it broke' || chr(10) || 'Step `' || transition || '`, column `' || place || '`.' || {GAP} || '## Root cause' || chr(10)
+  || array_to_string(list_transform(string_split(lower(n.category), '_'), lambda w: upper(w[1]) || w[2:]), ' ') || ': ' || message || '.'
+  || {GAP} || '## Downstream impact' || chr(10) || impact || {GAP} || '## Recommended fix' || chr(10) || coalesce(steps, '') AS rest
+  FROM runs r LEFT JOIN notes n USING (run_id) LEFT JOIN drafts d USING (run_id) LEFT JOIN expecting e USING (run_id)
+  LEFT JOIN {_playbook('numbered')} ON b.category = n.category)
+SELECT run_id, CASE WHEN n IS NULL THEN 'HEALTHY' ELSE 'FAILED' END AS status,
+  CASE WHEN n IS NOT NULL AND grounded THEN 'draft' ELSE 'template' END AS source,
+  '# Layer incident report - run ' || run_id || {GAP} || 'Status: **' || CASE WHEN n IS NULL THEN 'HEALTHY' ELSE 'FAILED' END
+  || '** | written by: ' || CASE WHEN n IS NOT NULL AND grounded THEN 'draft / writer' ELSE 'template' END || {GAP} ||
+  CASE WHEN n IS NULL THEN '## Summary' || chr(10) || 'All checks passed. Row counts, schemas, keys, nulls and balance totals reconcile across raw, staging and final.'
+    || {GAP} || 'Checks run: schema, key_integrity, uniqueness, nulls, row_counts, measures, distribution' || {GAP} || '## Expected changes' || chr(10)
+    || coalesce(bullets, '- none')
+  ELSE '## Summary' || chr(10) || CASE WHEN grounded THEN errors || ' errors hit loans balance' ELSE message || '. The problem started at the ' || transition
+    || ' step. It caused ' || n || ' downstream issue(s) in later layers.' END || {GAP} || rest || {GAP}
+    || '---' || chr(10) || '### Evidence from automated checks' || chr(10) || '```' || chr(10) || bodies || chr(10) || '```' END AS markdown FROM parts"""
+FACT_TEXT = TEXTS + f""", passed AS (SELECT run_id, string_agg(verdict || '=' || result, ', ' ORDER BY i) AS checks FROM (
+  SELECT r.run_id, v.i, v.verdict, CASE WHEN EXISTS (SELECT 1 FROM ranked f WHERE f.run_id = r.run_id AND f.verdict = v.verdict) THEN 'FAIL' ELSE 'PASS' END AS result
+  FROM runs r, (VALUES {", ".join(f"({i}, '{v}')" for i, v in enumerate(VERDICT_ORDER))}) v(i, verdict)) GROUP BY run_id),
+impacts AS (SELECT run_id, max(row_count) FILTER (WHERE layer = 'final') AS fin, max(row_count) FILTER (WHERE layer = 'staging') AS stg,
+  max(sum_value) FILTER (WHERE layer = 'final') AS total FROM profiles GROUP BY run_id)
+SELECT run_id, 'FACTS' || chr(10) || 'Run: ' || run_id || chr(10) || 'Layers: source systems -> raw -> staging (cleaning) -> final (join of loans to customers)'
+  || chr(10) || 'Checks: ' || checks || {GAP} || 'ROOT CAUSE (earliest failure):' || chr(10) || root_body || {GAP}
+  || 'DOWNSTREAM SYMPTOMS (caused by the root cause):' || chr(10) || symptoms || {GAP}
+  || 'EXPECTED CHANGES (normal business rules, NOT problems):' || chr(10) || coalesce(lines, '  none') || {GAP}
+  || 'FINAL LAYER NOW:' || chr(10) || '  loan rows: ' || format('{{:,}}', fin) || ' (staging had ' || format('{{:,}}', stg) || ')' || chr(10)
+  || '  distinct loans: ' || format('{{:,}}', fin) || chr(10) || '  total balance: ' || format('{{:,.2f}}', total) || {GAP}
+  || 'FIX PLAYBOOK for this type of failure:' || chr(10) || coalesce(steps, '  - Investigate the root cause above.') AS facts
+FROM notes n JOIN passed USING (run_id) JOIN impacts USING (run_id) LEFT JOIN expecting USING (run_id)
+LEFT JOIN {_playbook('bulleted')} ON b.category = n.category"""
+
 # ---------------------------------------------------------------- the registry
 
 ORACLES: dict[str, str] = {
@@ -423,6 +486,8 @@ SELECT ii AS step, transition, "table", round(e, 2) AS expected_total, round(a,
     "mutate_null": over("null_spike", "SELECT * FROM raw_customers"),
     "mutate_key": over("dropped_join_key", "SELECT loan_id, source_system, customer_id FROM stg_loans"),
     "mutate_duplicate": over("duplicate_rows", "SELECT * FROM stg_loans"),
+    "mutate_messy_case": over("clean", """SELECT loan_id, CASE WHEN cast(substr(loan_id, 2) AS bigint) % 10 = 3 THEN lower(status) ELSE status END
+  || CASE WHEN cast(substr(loan_id, 2) AS bigint) % 20 = 3 THEN ' ' ELSE '' END AS status FROM stg_loans"""),
     "mutation_truth": over("clean", """SELECT 'type_change' AS run_id, 'type_change' AS scenario, 'extract:loans' AS injected_at, 'balance' AS "column",
   'source_system = ''CORE_BANKING''' AS affected_segment, count(*) AS rows_affected FROM raw_loans WHERE source_system = 'CORE_BANKING'
 UNION ALL SELECT 'duplicate_rows', 'duplicate_rows', 'staging:loans', 'loan_id', NULL, count(*) FROM stg_loans WHERE origination_date >= DATE '2000-08-01'"""),
@@ -479,6 +544,8 @@ FROM sized s LEFT JOIN marks m ON m.run_id = s.run_id AND m.transition = s.trans
     "grounding": JUDGED + "SELECT run_id, grounded, md5(draft) AS draft_md5 FROM judged",
     "fill_sections": JUDGED + "SELECT run_id, cast(len(missing) AS int) AS missing_count, array_to_string(missing, ', ') AS missing FROM judged",
     "report_sources": NOTES,
+    "report_markdown": REPORT_TEXT,
+    "fact_sheets": FACT_TEXT,
 }
 for _s in SCENARIOS:
     ORACLES[f"findings_{_s}"] = findings(_s)

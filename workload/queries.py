@@ -360,8 +360,10 @@ def mutate_duplicate(spark, sf):
 
 @query
 def mutate_messy_case(spark, sf):
-    """About a tenth of the codes in lower case, a twentieth padded; the hash has no twin elsewhere."""
-    return M.messy_case(D.layers(spark, sf)["staging.loans"], "status", "loan_id").select("loan_id", "status")
+    """A tenth of the codes in lower case, a twentieth with a trailing blank, by loan number."""
+    number = "cast(substr(loan_id, 2) AS bigint)"
+    return M.messy_case(D.layers(spark, sf)["staging.loans"], "status", f"{number} % 10 = 3",
+                        f"{number} % 20 = 3").select("loan_id", "status")
 
 
 @query
