@@ -148,9 +148,9 @@ def changed_keys(before: DataFrame, after: DataFrame, row_key: str, column: str,
     s = s.distinct()
     per_row = s.groupBy("row_key").agg(*exprs(
         "count(*) AS staged", "min(stg_id) AS low", "max(stg_id) AS high"))
-    joined = r.join(per_row, "row_key")
-    return _changed_singly(joined.filter("staged = 1")).unionByName(
-        _changed_among_several(joined.filter("staged > 1"), s))
+    single = r.join(per_row.filter("staged = 1"), "row_key")
+    several = per_row.filter("staged > 1")
+    return _changed_singly(single).unionByName(_changed_among_several(r, s, several))
 
 
 def _changed_singly(joined: DataFrame) -> DataFrame:
@@ -158,8 +158,9 @@ def _changed_singly(joined: DataFrame) -> DataFrame:
         "row_key", "raw_id", "segment", "1L AS changed", f"cast({PADDED} AS bigint) AS padded", "low AS staged_id")
 
 
-def _changed_among_several(joined: DataFrame, staged: DataFrame) -> DataFrame:
-    several = staged.join(joined.select("row_key").distinct(), "row_key", "left_semi")
+def _changed_among_several(r: DataFrame, s: DataFrame, per_row: DataFrame) -> DataFrame:
+    joined = r.join(per_row, "row_key")
+    several = s.join(per_row.select("row_key"), "row_key", "left_semi")
     equal = several.selectExpr("row_key", "stg_id AS raw_id", "1L AS same")
     ids = joined.select("row_key", "raw_id").distinct()
     # staged = raw without some of its leading zeros

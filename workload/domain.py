@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from strataudit.config import AuditConfig, loan_config
 from strataudit.operators import layers as L
@@ -55,8 +56,15 @@ def config() -> AuditConfig:
                          "annual_income double")
 
 
+SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A benchmark table. Its schema is read from the file once; reading it again would be a job each time."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
 # 35 of every 100 customer numbers; the modulo form has a twin on the oracle engine, a hash has not
