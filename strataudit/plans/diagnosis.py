@@ -183,7 +183,8 @@ class Diagnosis:
         return assemble(self.findings, self.profiles)
 
     def top_segments(self) -> DataFrame:
-        return as_local(top_segments(self.segments))
+        """The few segments a report prints, kept with the findings; read them before :meth:`close`."""
+        return as_local(top_segments(self.segments).drop("position"))
 
     def close(self) -> Diagnosis:
         for df in self.kept:

@@ -564,8 +564,10 @@ def report_markdown(spark, sf):
 @query
 def scenario_report(spark, sf):
     """The full note of the key fault, with segments and evidence."""
-    d = _diagnosis(spark, sf, "dropped_join_key")
-    return N.render_reports(d.profiles, d.findings, d.segments).select("run_id", "status", "note", "markdown")
+    d = G.diagnose(D.stored_layers(spark, sf, "dropped_join_key"), CFG, "dropped_join_key")
+    top = d.top_segments()
+    d.close()
+    return N.render_reports(d.profiles, d.findings, top).select("run_id", "status", "note", "markdown")
 
 
 @query
