@@ -30,7 +30,7 @@ from strataudit.plans.findings import (
     finding_columns,
     segment_columns,
 )
-from strataudit.sources.local import local_frame
+from strataudit.sources.local import cached_aggregate, local_frame
 
 Layers = Mapping[str, DataFrame]
 
@@ -399,11 +399,6 @@ class Details:
                 case "measures":
                     self._measures(f)
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        """Aggregates read by several figures of the same job are computed once."""
-        self.kept.append(df.persist())
-        return self.kept[-1]
-
     def _segment_column(self, table: str) -> str | None:
         return self.cfg.segment_column if self.cfg.segment_column in self.layers[table].columns else None
 
@@ -438,7 +433,8 @@ class Details:
             by_table.setdefault(f.table, {})[f"{f.verdict} {f.column}"] = (f, condition)
         for table, items in by_table.items():
             segment = self._segment_column(table)
-            counts = self._keep(E.segment_counts(self.layers[table], segment, {k: c for k, (_, c) in items.items()}))
+            counts = cached_aggregate(E.segment_counts(self.layers[table], segment, {k: c for k, (_, c) in items.items()}))
+            self.kept.append(counts)
             for item, (f, _) in items.items():
                 mine = counts.filter(f"item = {lit(item)}")
                 summed = mine.agg(*exprs("coalesce(sum(affected), 0L) AS n", "coalesce(sum(rows), 0L) AS m",
@@ -479,7 +475,8 @@ class Details:
             return
         before, reference = self.layers[rule.before], self.layers[rule.reference]
         segment = self._segment_column(rule.before)
-        orphans = self._keep(E.orphan_keys(before, reference, rule.column, segment))
+        orphans = cached_aggregate(E.orphan_keys(before, reference, rule.column, segment))
+        self.kept.append(orphans)
         per_segment = orphans.groupBy("segment").agg(*exprs("sum(unmatched_rows) AS unmatched_rows"))
         summed = per_segment.agg(*exprs("sum(unmatched_rows) AS n",
                                         E.sole_segment("unmatched_rows", self.cfg.segment_column) + " AS sole"))

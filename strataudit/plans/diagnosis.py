@@ -26,7 +26,7 @@ from strataudit.operators import reconcile as R
 from strataudit.operators.profile import profile_layers, table_profiles
 from strataudit.plans.checks import LOST_DDL, Checks, Details, Layers, attach_details, key_changes, layer_facts
 from strataudit.plans.findings import SEGMENT_DDL
-from strataudit.sources.local import as_local, local_frame
+from strataudit.sources.local import as_local, cached_aggregate, local_frame
 
 SEGMENTS_IN_REPORT = 4
 
@@ -214,7 +214,7 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
     kept: list[DataFrame] = []
 
     def keep(df: DataFrame) -> DataFrame:
-        kept.append(df.persist())
+        kept.append(cached_aggregate(df))
         return kept[-1]
 
     try:

@@ -36,6 +36,13 @@ def _plain(value):
     return value
 
 
+def cached_aggregate(df: DataFrame) -> DataFrame:
+    """Cache an aggregate that several figures are read from, in no more tasks than there are cores: cached plans
+    keep every shuffle partition, most of which hold next to nothing of a frame with a row per segment or key. On a
+    cluster with more cores than shuffle partitions this changes nothing."""
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism).persist()
+
+
 def together(*actions: Callable[[], object]) -> list:
     """Submit independent jobs at once, so that the cluster is not idle at the tail of each."""
     with ThreadPoolExecutor(len(actions)) as pool:
