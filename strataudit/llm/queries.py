@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataudit.llm import simhash
+from strataudit.llm import secrets, simhash
 from strataudit.llm.common import table
 
 
@@ -14,5 +14,14 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup,)}
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("known", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(secrets.listed(F.col("known")), 256).alias("base_sha256"),
+                        secrets.listed(F.concat("known", "random")).alias("spans"),
+                        F.size("random").cast("bigint").alias("n_random"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan)}
 ORACLES: dict[str, str] = {}
