@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataudit.llm import secrets, simhash
+from strataudit.llm import mixing, secrets, simhash
 from strataudit.llm.common import table
 
 
@@ -23,5 +23,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("random").cast("bigint").alias("n_random"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan)}
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = mixing.mix(table(spark, sf_dir, "documents"))
+    return made.taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op3_source_mix)}
 ORACLES: dict[str, str] = {}
