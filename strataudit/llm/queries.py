@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataudit.llm import mixing, secrets, simhash
+from strataudit.llm import mixing, secrets, simhash, warc
 from strataudit.llm.common import table
 
 
@@ -28,5 +28,25 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op3_source_mix)}
-ORACLES: dict[str, str] = {}
+def op5_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    chunks = warc.read(warc.write(pages), keep_data=False).where("last")
+    own = F.col("record_type") == "response"
+    return chunks.select(F.col("page_id").cast("bigint").alias("page_id"),
+                         F.when(own, F.col("bytes_so_far")).otherwise(F.col("stated_bytes")).alias("payload_bytes"),
+                         F.when(own, F.col("digest_so_far")).otherwise(F.col("stated_digest")).alias("payload_digest"),
+                         "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op3_source_mix, op5_warc_chunks)}
+ORACLES: dict[str, str] = {
+    "op5_warc_chunks": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+        d AS (SELECT page_id, n, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                 1 + (((('0x' || substr(h, 1 + 10 * (i // 8)::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31))::INT, 1)), '') AS b
+              FROM p),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY b, n) AS first FROM d)
+        SELECT page_id, n::BIGINT AS payload_bytes, b AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to FROM f""",
+}
