@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: A word is a run of anything but space, tab, newline, vertical tab, form feed and carriage return.
@@ -58,7 +59,7 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 def pieces(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows with about ``size`` bytes of text, one row at least."""
     for batch in batches:
-        lengths = [len(x) for x in utf8(batch.column(column))]
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         at, used = 0, 0
         for i, n in enumerate(lengths):
             if i > at and used + n > size:
