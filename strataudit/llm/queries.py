@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataudit.llm import mixing, quality, secrets, simhash, warc
+from strataudit.llm import lines, mixing, quality, secrets, simhash, warc
 from strataudit.llm.common import table
 
 
@@ -38,13 +38,17 @@ def op5_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = quality.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return fitted.decide(fitted.scores).select("doc_id", "lang", "n_bytes", "perplexity", "limit", "keep")
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op3_source_mix, op5_warc_chunks,
-                                  op8_quality_classifier)}
+                                  op7_line_dedup, op8_quality_classifier)}
 ORACLES: dict[str, str] = {
     "op5_warc_chunks": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
