@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataudit.llm import lines, mixing, quality, secrets, simhash, warc
+from strataudit.llm import decontaminate, lines, mixing, quality, secrets, simhash, warc
 from strataudit.llm.common import table
 
 
@@ -38,6 +38,11 @@ def op5_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "at", "words", "equal")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -48,7 +53,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op3_source_mix, op5_warc_chunks,
-                                  op7_line_dedup, op8_quality_classifier)}
+                                  op6_benchmark_decontamination, op7_line_dedup, op8_quality_classifier)}
 ORACLES: dict[str, str] = {
     "op5_warc_chunks": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataudit.llm.common import column_type, kept, utf8
+from strataudit.llm.common import column_type, kept, utf8, written
 from strataudit.llm.graph import components
 
 SEED = 42
@@ -142,3 +142,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(smallest, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(id_col, "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component, by id (null first) and text hash.
+
+    Of rows that agree in id and text, one stays. See ``near_duplicates``.
+    """
+    row = F.struct(id_col, F.xxhash64(id_col, text_col).alias("k"))
+    found = near_duplicates(docs.select(row.alias("row"), text_col), "row", text_col, **options)
+    each = found.groupBy(F.col("row.k").alias("k_")).agg(F.bool_or(F.col("row") != F.col("component_id")).alias("goes"), F.count("*").alias("rows"))
+    marked = docs.withColumn("k_", F.xxhash64(id_col, text_col)).join(
+        written(each.where("goes OR rows > 1"), "goes"), "k_", "left").where("NOT coalesce(goes, false)")
+    single = F.col("rows").isNull()
+    return marked.where(single).unionByName(marked.where(~single).dropDuplicates(["k_"])).drop("k_", "goes", "rows")
