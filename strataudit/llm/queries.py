@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataudit.llm import decontaminate, lines, mixing, quality, secrets, simhash, warc
+from strataudit.llm import decontaminate, lines, mixing, quality, secrets, simhash, warc, weighted
 from strataudit.llm.common import table
 
 
@@ -52,8 +52,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted.decide(fitted.scores).select("doc_id", "lang", "n_bytes", "perplexity", "limit", "keep")
 
 
+def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted.compare(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op3_source_mix, op5_warc_chunks,
-                                  op6_benchmark_decontamination, op7_line_dedup, op8_quality_classifier)}
+                                  op6_benchmark_decontamination, op7_line_dedup, op8_quality_classifier,
+                                  op10_weighted_fingerprints)}
 ORACLES: dict[str, str] = {
     "op5_warc_chunks": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
