@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataudit.llm import decontaminate, lines, mixing, quality, secrets, simhash, warc, weighted
+from strataudit.llm import ctw, decontaminate, lines, mixing, quality, secrets, simhash, warc, weighted
 from strataudit.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"))
+
+
 def op5_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     chunks = warc.read(warc.write(pages), keep_data=False).where("last")
@@ -56,7 +60,7 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.compare(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op3_source_mix, op5_warc_chunks,
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op3_source_mix, op4_context_tree_scores, op5_warc_chunks,
                                   op6_benchmark_decontamination, op7_line_dedup, op8_quality_classifier,
                                   op10_weighted_fingerprints)}
 ORACLES: dict[str, str] = {
