@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataudit.llm import ctw, decontaminate, lines, mixing, quality, secrets, simhash, warc, weighted
+from strataudit.llm import ctw, decontaminate, language, lines, mixing, quality, secrets, simhash, warc, weighted
 from strataudit.llm.common import table
 
 
@@ -56,12 +56,16 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted.decide(fitted.scores).select("doc_id", "lang", "n_bytes", "perplexity", "limit", "keep")
 
 
+def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.compare(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op3_source_mix, op4_context_tree_scores, op5_warc_chunks,
-                                  op6_benchmark_decontamination, op7_line_dedup, op8_quality_classifier,
+                                  op6_benchmark_decontamination, op7_line_dedup, op8_quality_classifier, op9_language_crf,
                                   op10_weighted_fingerprints)}
 ORACLES: dict[str, str] = {
     "op5_warc_chunks": """
