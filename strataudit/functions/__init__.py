@@ -4,7 +4,6 @@ from strataudit.functions.sql import (
     comma_int,
     currency_to_double,
     exprs,
-    first_arrival,
     json_list,
     lit,
     money2,
@@ -19,6 +18,6 @@ from strataudit.functions.sql import (
 from strataudit.functions.types import is_numeric, is_temporal, type_label
 
 __all__ = [
-    "comma_int", "currency_to_double", "exprs", "first_arrival", "is_numeric", "is_temporal", "json_list", "lit", "money2",
+    "comma_int", "currency_to_double", "exprs", "is_numeric", "is_temporal", "json_list", "lit", "money2",
     "name", "normalise_code", "percent_of", "strip", "to_double", "to_long", "to_strict_timestamp", "type_label",
 ]

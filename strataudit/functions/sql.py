@@ -32,9 +32,15 @@ def lit(text: str | None) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# The characters that count as whitespace, beyond ASCII too.
+BLANKS = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+          0x205F, 0x3000]
+_BLANKS = "'" + "".join(f"\\u{c:04x}" for c in BLANKS) + "'"
+
+
 def strip(e: str) -> str:
     """Drop leading and trailing whitespace of every kind (``trim`` only drops spaces)."""
-    return f"btrim({e}, ' \\t\\n\\u000b\\f\\r')".replace("\\f", "\\u000c")
+    return f"btrim({e}, {_BLANKS})"
 
 
 def normalise_code(e: str) -> str:
@@ -46,7 +52,7 @@ def to_double(e: str, dtype: T.DataType) -> str:
     if isinstance(dtype, (T.NumericType, T.BooleanType)):
         return f"cast({e} AS double)"
     if isinstance(dtype, T.StringType):
-        return f"CASE WHEN {e} RLIKE r'{NUMERAL}' THEN try_cast({strip(e)} AS double) END"
+        return f"CASE WHEN {strip(e)} RLIKE r'{NUMERAL}' THEN try_cast({strip(e)} AS double) END"
     return "cast(null AS double)"
 
 
@@ -57,13 +63,14 @@ def to_long(e: str, dtype: T.DataType) -> str:
     number = to_double(e, dtype)
     whole = f"CASE WHEN ({number}) = floor({number}) THEN try_cast({number} AS bigint) END"
     if isinstance(dtype, T.StringType):
-        return f"coalesce(CASE WHEN {e} RLIKE r'{NUMERAL}' THEN try_cast({strip(e)} AS bigint) END, {whole})"
+        return f"coalesce(CASE WHEN {strip(e)} RLIKE r'{NUMERAL}' THEN try_cast({strip(e)} AS bigint) END, {whole})"
     return whole
 
 
 def to_strict_timestamp(e: str) -> str:
-    """The one strict coercion: a malformed date fails the job."""
-    return f"cast({e} AS timestamp_ntz)"
+    """The one strict coercion: a malformed date fails the job, under ANSI rules and without."""
+    fails = f"cast(raise_error(concat('not a date: ', cast({e} AS string))) AS timestamp_ntz)"
+    return f"coalesce(try_cast({e} AS timestamp_ntz), CASE WHEN {e} IS NOT NULL THEN {fails} END)"
 
 
 def currency_to_double(e: str, dtype: T.DataType) -> str:
@@ -73,13 +80,6 @@ def currency_to_double(e: str, dtype: T.DataType) -> str:
     return to_double(e, dtype)
 
 
-def first_arrival(e: str, order: str | None) -> str:
-    """Aggregate: the first non-NULL value by arrival order, or the smallest where no order is recorded."""
-    if order is None:
-        return f"min({e})"
-    return f"min_by({e}, CASE WHEN ({e}) IS NOT NULL THEN {order} END)"
-
-
 def percent_of(part: str, whole: str, digits: int) -> str:
     """Rounded share in percent, 0 for an empty whole."""
     return f"CASE WHEN {whole} <> 0 THEN round(100.0D * ({part}) / ({whole}), {digits}) ELSE 0.0D END"

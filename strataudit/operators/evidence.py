@@ -134,8 +134,7 @@ def changed_keys(before: DataFrame, after: DataFrame, row_key: str, column: str,
     when padded with zeros, ``staged_id`` the smallest differing one.
 
     A row key normally has one later key, and then a single join decides. Where a row key has several, the
-    differing ones are counted as "all minus equal" and the padded ones are found by equality on the possible
-    spellings, so that no two sets of keys of one row are ever multiplied. Where a profile has shown that row keys
+    differing ones are counted as "all minus equal" and the padded ones are found by equality, so that no two sets of keys of one row are ever multiplied. Where a profile has shown that row keys
     are unique, say so: the side then goes into the join as it is, without a shuffle of its own.
     """
     r = before.selectExpr(f"{name(row_key)} AS row_key", f"{strip(f'cast({name(column)} AS string)')} AS raw_id",
@@ -163,14 +162,15 @@ def _changed_among_several(r: DataFrame, s: DataFrame, per_row: DataFrame) -> Da
     several = s.join(per_row.select("row_key"), "row_key", "left_semi")
     equal = several.selectExpr("row_key", "stg_id AS raw_id", "1L AS same")
     ids = joined.select("row_key", "raw_id").distinct()
-    # staged = raw without some of its leading zeros
-    zeros = "length(raw_id) - length(ltrim('0', raw_id))"
-    shorter = ids.filter(f"{zeros} > 0").selectExpr(
-        "row_key", "raw_id", f"explode(transform(sequence(1, {zeros}), k -> substr(raw_id, k + 1))) AS stg_id")
-    by_zeros = shorter.join(several, ["row_key", "stg_id"], "left_semi").selectExpr("row_key", "raw_id")
-    # staged = raw with something appended: padding to a shorter length cuts it off
-    longer = several.filter("length(stg_id) > 0").selectExpr(
-        "row_key", "explode(transform(sequence(0, length(stg_id) - 1), k -> substr(stg_id, 1, k))) AS raw_id")
+    # staged = raw without some of its leading zeros: the rest after all zeros is the same
+    rest = "ltrim('0', {0}) AS rest"
+    by_zeros = ids.selectExpr("row_key", "raw_id", rest.format("raw_id")).join(
+        several.selectExpr("row_key", "stg_id", rest.format("stg_id")), ["row_key", "rest"]).filter(
+        "length(stg_id) < length(raw_id) AND lpad(stg_id, length(raw_id), '0') = raw_id").selectExpr("row_key", "raw_id")
+    # staged = raw with something appended: padding to a shorter length, of those that occur, cuts it off
+    lengths = ids.selectExpr("row_key", "length(raw_id) AS n").distinct()
+    longer = several.join(lengths, "row_key").filter("length(stg_id) > n").selectExpr("row_key", "substr(stg_id, 1, n) AS raw_id").join(
+        ids, ["row_key", "raw_id"], "left_semi")
     padded = by_zeros.unionByName(longer).groupBy("row_key", "raw_id").agg(*exprs("count(*) AS padded"))
     return (joined.join(equal, ["row_key", "raw_id"], "left").join(padded, ["row_key", "raw_id"], "left")
             .selectExpr("row_key", "raw_id", "segment", "staged - coalesce(same, 0L) AS changed",

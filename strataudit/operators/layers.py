@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -61,7 +61,15 @@ def clean(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
             case _:
                 return c
 
-    return df.selectExpr(*[f"{apply(f)} AS {name(f.name)}" for f in df.schema.fields])
+    return df.selectExpr(*[f"{apply(f)} AS {name(f.name)}" for f in df.schema.fields if f.name != ARRIVAL],
+                         *([name(ARRIVAL)] if ARRIVAL in df.columns else []))
+
+
+def with_arrival(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The landed rows with their order of arrival, where landing recorded none: cleaning must not change it."""
+    if INGEST_SEQ in raw.columns:
+        return raw
+    return raw.selectExpr("*", f"{arrival_order(raw.columns, keys)} AS {ARRIVAL}")
 
 
 def _value_list(rule: Exclusion) -> str:
@@ -80,26 +88,36 @@ def keep_unexcluded(df: DataFrame, rule: Exclusion) -> DataFrame:
     return df.filter(f"{c} IS NULL OR NOT {c} IN ({_value_list(rule)})")
 
 
+ARRIVAL = "_arrival"
+
+
+def arrival_order(columns: list[str], keys: Sequence[str]) -> str:
+    """What decides which row of a key came first, for every side of a comparison: the sequence recorded at landing, or
+    else all columns of the landed table in order, so that the result never depends on partitioning."""
+    if INGEST_SEQ in columns:
+        return name(INGEST_SEQ)
+    if ARRIVAL in columns:
+        return name(ARRIVAL)
+    return f"struct({', '.join(map(name, [c for c in columns if c not in keys] or keys))})"
+
+
 def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: the first to arrive.
+    """One row per key: the first to arrive (see ``arrival_order``).
 
-    Arrival is the sequence recorded at landing; without it all columns in order decide, so the result never
-    depends on partitioning. Spark keeps one candidate per key and task before the shuffle (window group
-    limit), so a key holding a large part of the table reaches its task as a handful of rows.
+    Spark keeps one candidate per key and task before the shuffle (window group limit), so a key holding a large part of
+    the table reaches its task as a handful of rows.
     """
-    columns = df.columns
-    order = [INGEST_SEQ] if INGEST_SEQ in columns else [c for c in columns if c not in keys] or keys
-    over = f"PARTITION BY {', '.join(map(name, keys))} ORDER BY {', '.join(map(name, order))}"
+    over = f"PARTITION BY {', '.join(map(name, keys))} ORDER BY {arrival_order(df.columns, keys)}"
     ranked = df.selectExpr("*", f"row_number() OVER ({over}) AS _rank").filter("_rank = 1")
-    return ranked.selectExpr(*map(name, columns))
+    return ranked.selectExpr(*[name(c) for c in df.columns if c != ARRIVAL])
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
-    return first_per_key(clean(raw, CUSTOMER_RULES), ["customer_id"]).drop(INGEST_SEQ)
+    return first_per_key(clean(with_arrival(raw, ["customer_id"]), CUSTOMER_RULES), ["customer_id"]).drop(INGEST_SEQ)
 
 
 def clean_loans(raw: DataFrame, exclusion: Exclusion = Exclusion("status", EXCLUDED_STATUSES)) -> DataFrame:
-    kept = keep_unexcluded(clean(raw, LOAN_RULES), exclusion)
+    kept = keep_unexcluded(clean(with_arrival(raw, ["loan_id"]), LOAN_RULES), exclusion)
     return first_per_key(kept, ["loan_id"]).drop(INGEST_SEQ)
 
 

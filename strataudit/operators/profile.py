@@ -116,6 +116,7 @@ def profile_tables(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> Da
     rows, distinct = "coalesce(row_count, 0L)", "coalesce(distinct_count, 0L)"
     # the window spans one row per column of a table, never its data
     surplus = f"max(CASE WHEN is_key THEN {rows} - {distinct} END) OVER (PARTITION BY table)"
+    surplus = f"coalesce({surplus}, 0L)"  # no key, no surplus
     measured = frame.join(reduce(DataFrame.unionByName, folded), "item", "left")
     return measured.selectExpr("*", f"{surplus} AS duplicate_keys").filter("column IS NOT NULL").selectExpr(
         "table", "column_idx", "column", "dtype", f"{rows} AS row_count", "coalesce(null_count, 0L) AS null_count",
@@ -129,7 +130,7 @@ def profile_tables(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> Da
 # ---------------------------------------------------------------- estimated distinct counts: one pass, no shuffle
 
 def _estimate_table(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    aggregates, rows = ["count(*) AS row_count", f"{surplus_keys(keys)} AS duplicate_keys"], []
+    aggregates, rows = ["count(*) AS row_count", f"{surplus_keys(keys) if keys else '0L'} AS duplicate_keys"], []
     for i, f in _fields(df):
         c = name(f.name)
         low = high = total = "cast(null AS double)"
@@ -157,7 +158,8 @@ def profile_layers(layers: Mapping[str, DataFrame], cfg: AuditConfig, run_id: st
 
     ``distinct="approx"`` estimates the distinct counts of the columns; surplus keys are always exact.
     """
-    tables = [(c.name, layers[c.name], c.keys) for c in cfg.contracts]
+    has = {c.name: set(layers[c.name].columns) for c in cfg.contracts}
+    tables = [(c.name, layers[c.name], c.keys if has[c.name].issuperset(c.keys) else ()) for c in cfg.contracts]
     if distinct == "approx":
         profiled = reduce(DataFrame.unionByName, [_estimate_table(*t) for t in tables])
     else:

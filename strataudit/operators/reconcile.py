@@ -7,9 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from strataudit.config import INGEST_SEQ, DistinctRule, DistributionRule, MeasureRule
-from strataudit.functions import currency_to_double, exprs, first_arrival, lit, name, percent_of, strip, to_double
-from strataudit.operators.layers import excluded
+from strataudit.config import DistinctRule, DistributionRule, MeasureRule
+from strataudit.functions import currency_to_double, exprs, lit, name, percent_of, strip, to_double
+from strataudit.operators.layers import arrival_order, excluded
 
 
 def expected_keys(df: DataFrame, rule: DistinctRule, unique: bool = False) -> DataFrame:
@@ -36,15 +36,14 @@ def expected_keys(df: DataFrame, rule: DistinctRule, unique: bool = False) -> Da
 
 
 def one_value_per_key(df: DataFrame, rule: MeasureRule, segment: str, unique: bool = False) -> DataFrame:
-    """Segment and readable amount of each key that is not excluded, first arrival first. With ``unique`` keys
-    every row is the only one of its key."""
+    """Segment and readable amount of the first row of each key that is not excluded, by the rule that staging goes by.
+    With ``unique`` keys every row is the only one of its key."""
     kept = df.filter(f"NOT {excluded(rule.exclusion)}") if rule.exclusion else df
-    order = INGEST_SEQ if INGEST_SEQ in df.columns else None
     amount = currency_to_double(name(rule.measure), df.schema[rule.measure].dataType)
     if unique:
         return kept.selectExpr(f"{name(segment)} AS segment", f"{amount} AS amount")
-    return kept.groupBy(name(rule.key)).agg(*exprs(
-        f"{first_arrival(name(segment), order)} AS segment", f"{first_arrival(amount, order)} AS amount"))
+    first = f"min_by(struct({name(segment)} AS segment, {amount} AS amount), {arrival_order(df.columns, [rule.key])})"
+    return kept.groupBy(name(rule.key)).agg(*exprs(f"{first} AS first")).selectExpr("first.segment", "first.amount")
 
 
 def segment_totals(layers: Mapping[str, DataFrame], rule: MeasureRule, segment: str,

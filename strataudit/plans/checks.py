@@ -36,8 +36,15 @@ Layers = Mapping[str, DataFrame]
 
 FACTS_DDL = ("run_id string, kind string, rule int, step int, a bigint, b bigint, c bigint, d bigint, "
              "x double, y double, z double, label string")
-# Values listed inside a finding (reports print fewer); ``lost_values`` of a diagnosis has the complete set.
-LISTED_VALUES = 100
+# Values shown inside a finding, with the number of the others; ``finding_values`` has them all.
+SHOWN_VALUES = 100
+
+
+def strides(cfg: AuditConfig) -> dict[str, int]:
+    """How far apart the items of two tables, or of two rules, lie within a check: further than any has columns or steps."""
+    return {"column": max([1000, *(len(c.schema.fields) + 1 for c in cfg.contracts)]),
+            "pass": max(1000, 10 * len(cfg.distinct_rules) + 10),
+            "step": max([100, *(len(r.transitions) + 1 for r in cfg.measure_rules)])}
 
 
 def _check(verdict: str) -> dict[str, str]:
@@ -103,7 +110,7 @@ class Checks:
 
     def __init__(self, spark: SparkSession, cfg: AuditConfig, profiles: DataFrame, facts: DataFrame | None = None,
                  tables: DataFrame | None = None):
-        self.spark, self.cfg = spark, cfg
+        self.spark, self.cfg, self.stride = spark, cfg, strides(cfg)
         self.frames = {
             "profiles": profiles,
             "tables": tables if tables is not None else table_profiles(profiles),
@@ -128,7 +135,7 @@ class Checks:
     def schema(self) -> DataFrame:
         """Contract columns that are missing or of another type."""
         columns = finding_columns(
-            **_check("schema"), run_id="t.run_id", item_idx="c.table_idx * 1000 + c.column_idx",
+            **_check("schema"), run_id="t.run_id", item_idx=f"c.table_idx * {self.stride['column']} + c.column_idx",
             category="'SCHEMA_DRIFT'", severity=lit(CRITICAL), transition="c.transition",
             transition_idx="c.transition_idx", table="c.table", column="c.column",
             message="CASE WHEN p.dtype IS NULL THEN concat(c.table, '.', c.column, ' is missing') ELSE "
@@ -142,7 +149,7 @@ class Checks:
     def nulls(self) -> DataFrame:
         """Columns over their null limit whose upstream column is not."""
         columns = finding_columns(
-            **_check("nulls"), run_id="p.run_id", item_idx="c.table_idx * 1000 + c.column_idx",
+            **_check("nulls"), run_id="p.run_id", item_idx=f"c.table_idx * {self.stride['column']} + c.column_idx",
             category="'NULL_SPIKE'",
             severity=f"CASE WHEN p.null_pct > {self.cfg.null_critical_pct} THEN {lit(CRITICAL)} ELSE {lit(WARNING)} END",
             transition="c.transition", transition_idx="c.transition_idx", table="c.table", column="c.column",
@@ -254,7 +261,7 @@ class Checks:
                                           evidence)
             parts.append(self._sql(f"SELECT {columns} {source} AND t.row_count <> f.b"))
         for i, rule in enumerate(self.cfg.pass_through_rules):
-            columns = self._count_finding(rule.after, rule.transition, 1000 + i, "s.run_id", "s.row_count",
+            columns = self._count_finding(rule.after, rule.transition, self.stride["pass"] + i, "s.run_id", "s.row_count",
                                           "t.row_count", evidence_struct())
             parts.append(self._sql(f"""
                 SELECT {columns} FROM {{tables}} s JOIN {{tables}} t ON t.run_id = s.run_id
@@ -268,7 +275,7 @@ class Checks:
             for step, transition in enumerate(rule.transitions):
                 table = rule.tables[step + 1]
                 columns = finding_columns(
-                    **_check("measures"), **_transition(transition), run_id="f.run_id", item_idx=str(100 * i + step),
+                    **_check("measures"), **_transition(transition), run_id="f.run_id", item_idx=str(self.stride["step"] * i + step),
                     category="'MEASURE_DRIFT'",
                     severity=f"CASE WHEN abs(f.z) >= {rule.critical_pct} THEN {lit(CRITICAL)} ELSE {lit(WARNING)} END",
                     table=lit(table), column=lit(rule.measure),
@@ -321,7 +328,7 @@ def folded_details(rows: DataFrame) -> DataFrame:
 
     return rows.groupBy("run_id", "verdict", "table", "item_idx").agg(*exprs(
         number("affected_rows"), number("all_rows"), text("sole"), texts("sample", "samples"),
-        texts("missing", "missing"), number("exact_copies"), number("duplicated_keys"), text("date_from"),
+        texts("missing", "missing"), number("missing_count"), number("exact_copies"), number("duplicated_keys"), text("date_from"),
         text("date_to"), text("table_start"), text("cause"), number("unmatched_rows"), number("key_length"), number("padded")))
 
 
@@ -350,7 +357,9 @@ DETAIL_EVIDENCE = {
         "sample_unmatched_keys": "samples",
         "customer_key_length": "key_length",
         "match_if_zero_padded": "coalesce(padded, 0L)",
-        "loan_types_missing_from_final": "CASE WHEN size(missing) > 0 THEN missing END",
+        "loan_types_missing_from_final":
+            "CASE WHEN missing_count > size(missing) THEN concat(missing, array(concat('and ', missing_count - size(missing), "
+            "' more in finding_values'))) WHEN size(missing) > 0 THEN missing END",
     },
 }
 
@@ -369,7 +378,7 @@ def attach_details(findings: DataFrame, rows: DataFrame) -> DataFrame:
     return joined.selectExpr(*[c for c in FINDING if c != "evidence"], f"{evidence_struct(**fields)} AS evidence")
 
 
-LOST_DDL = "run_id string, table string, value string"
+VALUES_DDL = "run_id string, verdict string, table string, kind string, value string"
 
 
 class Details:
@@ -488,15 +497,15 @@ class Details:
         padded = E.zero_padded_matches(orphans, reference, rule.column)
         self._row(padded.agg({"unmatched_rows": "sum"}), f, "padded", number="coalesce(`sum(unmatched_rows)`, 0L)")
         lost = E.lost_groups(before, self.layers[rule.after], rule.group_column)
-        self.lost.append(lost.selectExpr(f"{lit(self.run_id)} AS run_id", f"{lit(f.table)} AS table",
-                                         f"cast({name(rule.group_column)} AS string) AS value"))
-        listed = lost.orderBy(name(rule.group_column)).limit(LISTED_VALUES)
-        self._row(listed, f, "missing", text=f"cast({name(rule.group_column)} AS string)")
+        self.lost.append(lost.selectExpr(f"{lit(self.run_id)} AS run_id", f"{lit(f.verdict)} AS verdict", f"{lit(f.table)} AS table",
+                                         f"{lit('missing ' + rule.group_column)} AS kind", f"cast({name(rule.group_column)} AS string) AS value"))
+        self._row(lost.orderBy(name(rule.group_column)).limit(SHOWN_VALUES), f, "missing", text=f"cast({name(rule.group_column)} AS string)")
+        self._row(lost.agg(*exprs(f"count({name(rule.group_column)}) AS n")), f, "missing_count", number="n")
         if segment:
             self._segment(per_segment, f, "unmatched_rows", unmatched_rows="unmatched_rows")
 
     def _measures(self, f: Row) -> None:
-        rule_idx = f.item_idx // 100
+        rule_idx = f.item_idx // strides(self.cfg)["step"]
         steps = R.measure_steps(self.totals[rule_idx], self.cfg.measure_rules[rule_idx])
         mine = steps.filter(f"transition = {lit(f.transition)}")
         self._segment(mine, f, "abs(delta)", expected="expected", actual="actual", delta="delta")
@@ -505,7 +514,7 @@ class Details:
         return _union(self.rows) if self.rows else None
 
     def lost_frame(self, spark: SparkSession) -> DataFrame:
-        return _union(self.lost) if self.lost else local_frame(spark, [], LOST_DDL)
+        return _union(self.lost) if self.lost else local_frame(spark, [], VALUES_DDL)
 
     def segment_frame(self, spark: SparkSession) -> DataFrame:
         return _union(self.segments) if self.segments else local_frame(spark, [], SEGMENT_DDL)

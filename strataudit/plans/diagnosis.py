@@ -6,7 +6,7 @@ Every function here works on frames keyed by ``run_id`` and serves one run or a
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 
@@ -24,13 +24,37 @@ from strataudit.config import (
 from strataudit.functions import exprs, lit
 from strataudit.operators import reconcile as R
 from strataudit.operators.profile import profile_layers, table_profiles
-from strataudit.plans.checks import LOST_DDL, Checks, Details, Layers, attach_details, key_changes, layer_facts
+from strataudit.plans.checks import VALUES_DDL, Checks, Details, Layers, attach_details, key_changes, layer_facts
 from strataudit.plans.findings import SEGMENT_DDL
 from strataudit.sources.local import as_local, cached_aggregate, local_frame
 
 SEGMENTS_IN_REPORT = 4
 
 
+def runnable(layers: Layers, cfg: AuditConfig) -> tuple[AuditConfig, tuple[str, ...]]:
+    """The configuration without the rules that need a column which a table has lost, and what these rules are.
+
+    The lost column itself is a finding of the schema check; a rule about it would fail or compare nothing.
+    """
+    has = {t: set(df.columns) for t, df in layers.items()}
+    out = lambda rule: [rule.exclusion.column] if rule.exclusion else []
+    seg = cfg.segment_column
+    needs = {
+        "key_rules": lambda r: {r.before: [r.row_key, r.column, seg], r.after: [r.row_key, r.column], r.reference: [r.column]},
+        "distinct_rules": lambda r: {r.before: [r.key, *out(r)], r.after: [r.key]},
+        "pass_through_rules": lambda r: {r.before: [r.column, r.group_column], r.after: [r.group_column], r.reference: [r.column]},
+        "measure_rules": lambda r: {t: [r.measure, seg, *([r.key, *out(r)] if i == 0 else [])] for i, t in enumerate(r.tables)},
+        "distribution_rules": lambda r: {r.table: [r.column, r.cause_column]},
+    }
+    kept, not_run = {}, []
+    for field_name, of in needs.items():
+        rules = getattr(cfg, field_name)
+        lost = [[f"{t}.{c}" for t, cs in of(r).items() for c in cs if c not in has[t]] for r in rules]
+        kept[field_name] = tuple(r for r, gone in zip(rules, lost, strict=True) if not gone)
+        not_run += [f"{field_name}[{i}]: no {', '.join(gone)}" for i, gone in enumerate(lost) if gone]
+    return replace(cfg, **kept), tuple(not_run)
+
+
 class DataQualityError(RuntimeError):
     """Raised by the quality gate, so that the job fails."""
 
@@ -166,14 +190,15 @@ def evaluate(runs: DataFrame, roots: DataFrame, truth: DataFrame) -> DataFrame:
 @dataclass
 class Diagnosis:
     """Results of one run. ``profiles`` and ``findings`` are bounded by the contracts and held as part of their
-    plans. ``segments`` has a row per segment of each finding and ``lost_values`` a row per group that did not reach
-    the next layer; both stay lazy, and until :meth:`close` they read aggregates that are already there."""
+    plans. ``segments`` has a row per segment of each finding and ``finding_values`` a row per value
+    that a finding shows a part of; both stay lazy, and until :meth:`close` they read aggregates that are already there."""
 
     run_id: str
     profiles: DataFrame
     findings: DataFrame
     segments: DataFrame
-    lost_values: DataFrame
+    finding_values: DataFrame
+    not_run: tuple[str, ...] = ()
     kept: list[DataFrame] = field(default_factory=list)
 
     def ranked(self) -> DataFrame:
@@ -208,9 +233,10 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
 
     Two jobs read the data of a healthy run: the profiles and the facts. Evidence is queried only for flagged
     columns and rules. What comes back to the driver is bounded by the contracts: a row per column, a row per
-    rule, and the findings.
+    rule, and the findings. Rules that need a column which a table has lost are not run; ``not_run`` names them.
     """
     spark = next(iter(layers.values())).sparkSession
+    cfg, not_run = runnable(layers, cfg)
     kept: list[DataFrame] = []
 
     def keep(df: DataFrame) -> DataFrame:
@@ -230,7 +256,7 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
         facts = as_local(layer_facts(layers, cfg, run_id, changes, totals, unique))
         findings = as_local(Checks(spark, cfg, profiles, facts, tables).all())
         flagged = findings.filter(f"severity <> '{INFO}'").collect()
-        segments, lost = local_frame(spark, [], SEGMENT_DDL), local_frame(spark, [], LOST_DDL)
+        segments, lost = local_frame(spark, [], SEGMENT_DDL), local_frame(spark, [], VALUES_DDL)
         if flagged:
             details = Details(layers, cfg, run_id, changes, totals, flagged, unique)
             kept += details.kept
@@ -242,14 +268,15 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
         for df in kept:
             df.unpersist()
         raise
-    return Diagnosis(run_id, profiles, findings, segments, lost, kept)
+    return Diagnosis(run_id, profiles, findings, segments, lost, not_run, kept)
 
 
 def quality_gate(diagnoses: DataFrame) -> str:
-    """``HEALTHY``, or an error naming the first failed run and its root cause."""
-    failed = diagnoses.filter("status <> 'HEALTHY'").selectExpr("run_id", "root_cause.*").orderBy("run_id").first()
-    if failed is None:
-        return "HEALTHY"
-    raise DataQualityError(
-        f"run {failed.run_id} failed data quality checks - root cause: {failed.category} at {failed.transition} "
-        f"({failed.table}.{failed.column}): {failed.message}")
+    """``HEALTHY``, or an error that lists every failed run with its root cause, in order of run."""
+    place = "concat_ws('.', root_cause.table, root_cause.column)"
+    failed = diagnoses.filter("status <> 'HEALTHY'").selectExpr(
+        "run_id", f"concat_ws(' ', run_id, root_cause.category, root_cause.transition, {place}, root_cause.message) AS line")
+    lines = [r.line for r in failed.orderBy("run_id").collect()]  # a row per failed run
+    if lines:
+        raise DataQualityError("\n".join([f"{len(lines)} of the diagnosed runs failed:", *lines]))
+    return "HEALTHY"

@@ -77,7 +77,7 @@ def layer_flow(profiles: DataFrame, findings: DataFrame, tables: Mapping[str, st
 
 def audit_runs(runs: DataFrame, diagnoses: DataFrame, reports: DataFrame, gates: DataFrame,
                expected_scenario: str = "scenario") -> DataFrame:
-    """What is missing or contradictory about each run; no problems means the run did all it should.
+    """Codes of what is missing or contradictory about each run; no problems means the run did all it should.
 
     ``gates`` has (run_id, gate_failed). ``expected_scenario`` is an expression over the runs, by default the
     scenario they were started with.
@@ -88,14 +88,14 @@ def audit_runs(runs: DataFrame, diagnoses: DataFrame, reports: DataFrame, gates:
               .join(gates.select("run_id", "gate_failed"), "run_id", "left"))
     failed = "coalesce(gate_failed, false)"
     problems = {
-        "scenario <> expected": "concat('run is for ', scenario, ', expected ', expected)",
-        "finished_at IS NULL": "'run never finished'",
-        "status IS NULL": "'no diagnosis was saved'",
-        "report_by IS NULL": "'no report was written'",
-        "expected = 'none' AND status <> 'HEALTHY'": "concat('healthy run diagnosed as ', status)",
-        f"expected = 'none' AND {failed}": "'quality gate failed on a healthy run'",
-        "expected <> 'none' AND status <> 'FAILED'": "concat('broken run diagnosed as ', status)",
-        f"expected <> 'none' AND NOT {failed}": "'quality gate did not fail on a broken run'",
+        "scenario <> expected": "'other_scenario'",
+        "finished_at IS NULL": "'unfinished'",
+        "status IS NULL": "'no_diagnosis'",
+        "report_by IS NULL": "'no_report'",
+        "expected = 'none' AND status <> 'HEALTHY'": "'sound_run_diagnosed'",
+        f"expected = 'none' AND {failed}": "'sound_run_gated'",
+        "expected <> 'none' AND status <> 'FAILED'": "'fault_not_diagnosed'",
+        f"expected <> 'none' AND NOT {failed}": "'fault_not_gated'",
     }
     listed = ", ".join(f"CASE WHEN {c} THEN {m} END" for c, m in problems.items())
     return joined.selectExpr("run_id", "scenario", "status", "report_by", f"{failed} AS gate_failed",

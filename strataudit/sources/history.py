@@ -25,6 +25,7 @@ RUN_TABLES = {
     "layer_profiles": PROFILE_DDL,
     "findings": FINDING_DDL,
     "finding_segments": SEGMENT_DDL,
+    "finding_values": "run_id string, verdict string, table string, kind string, value string",
     "diagnoses": "run_id string, created_at timestamp_ntz, status string, root_cause string, report string",
     "incident_reports": "run_id string, created_at timestamp_ntz, source string, author string, grounded boolean, "
                         "seconds double, note string, markdown string",

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,8 +14,9 @@ from strataudit.config import INGEST_SEQ
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A new folder below the shared folder of the cluster; a local one only where none is configured."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strataudit-")
+    """A new folder below the shared folder of the cluster, or below the warehouse where none is configured: executors
+    share both."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
     return os.path.join(shared, f"layers-{uuid.uuid4().hex}")
 
 
@@ -30,6 +30,16 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
         return spark.createDataFrame([], schema)
 
 
+def _row_order(df: DataFrame) -> Column:
+    of_files = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start",
+                        F.monotonically_increasing_id())
+    try:
+        df.select(of_files)
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    return of_files
+
+
 class LayerStore:
     """Reads and replaces whole layer tables."""
 
@@ -58,9 +68,14 @@ class LayerStore:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def land(self, name: str, df: DataFrame) -> int:
-        """Write an arriving table together with the order in which its rows arrived."""
-        return self.write(name, df.withColumn(INGEST_SEQ, F.monotonically_increasing_id()))
+    def land(self, name: str, df: DataFrame, arrival: str | None = None) -> int:
+        """Write an arriving table together with the order in which its rows arrived.
+
+        ``arrival`` names a column that tells it, or an expression. Rows read from files go by the time, path and
+        position that the files give them (``_metadata``); for others there is no order but that of the partitions
+        they are in, which a rerun may change.
+        """
+        return self.write(name, df.withColumn(INGEST_SEQ, F.expr(arrival) if arrival else _row_order(df)))
 
     def row_count(self, name: str) -> int:
         return self.read(name).count()

@@ -37,10 +37,10 @@ def _plain(value):
 
 
 def cached_aggregate(df: DataFrame) -> DataFrame:
-    """Cache an aggregate that several figures are read from, in no more tasks than there are cores: cached plans
-    keep every shuffle partition, most of which hold next to nothing of a frame with a row per segment or key. On a
-    cluster with more cores than shuffle partitions this changes nothing."""
-    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism).persist()
+    """Keep an aggregate that several figures are read from, in memory and on disk, in the partitions it was made in. It
+    can be a row per key, as large as a table, so it is never drawn together into few tasks; a lost executor's
+    part is computed again."""
+    return df.persist()
 
 
 def together(*actions: Callable[[], object]) -> list:

@@ -4,7 +4,7 @@ import pytest
 from strataudit.plans import diagnosis as G
 from strataudit.plans import history as H
 from strataudit.plans import reports as N
-from strataudit.plans.runs import Runs, StageOrderError, UnknownRunError
+from strataudit.plans.runs import ForeignLayer, NoSuchRun, Runs, truth_frame
 from strataudit.operators import mutations as M
 from strataudit.sources.history import History
 from strataudit.sources.layers import LayerStore
@@ -72,34 +72,49 @@ def test_all_stages(spark, runs, sources):
     assert marks["raw"] == (1500, None, "ok") and marks["staging"][2] == "root" and marks["final"][1] == 0
 
 
+def test_run_all_then_diagnose(spark, tmp_path, sources):
+    runs = Runs(LayerStore(spark, str(tmp_path / "lake")), History(spark, str(tmp_path / "lake")), CFG)
+    with pytest.raises(NoSuchRun):
+        runs.diagnose()
+    edits = {"staging.loans": lambda df: M.repeat_recent(df, "origination_date", D.AS_OF)}
+    state = runs.run_all(sources, "duplicate_rows", edits=edits, truth={"scenario": "duplicate_rows", "injected_at": "staging:loans"})
+    assert state.finished_at is not None and set(state.row_counts) == {"raw", "staging", "final"}
+    runs.diagnose().close()  # the latest run
+    stored = runs.history.of_run("findings", state.run_id)
+    truth = truth_frame(H.current_runs(runs.history.read("run_events")))
+    assert G.evaluate(truth.select("run_id"), G.root_causes(stored), truth).first().correct
+    assert runs.history.of_run("diagnoses", state.run_id).first().root_cause == "DUPLICATE_ROWS"
+    assert runs.history.of_run("finding_values", state.run_id).count() == 0
+
+
 def test_unknown_runs_and_stages(runs, sources):
-    with pytest.raises(UnknownRunError):
+    with pytest.raises(NoSuchRun):
         runs.get("nope")
-    with pytest.raises(UnknownRunError):
+    with pytest.raises(NoSuchRun):
         runs.run_stage("extract", "nope", sources)
     run = runs.start()
-    with pytest.raises(UnknownRunError):
+    with pytest.raises(NoSuchRun):
         runs.finish("nope")
-    with pytest.raises(ValueError, match="unknown stage"):
+    with pytest.raises(ValueError, match="no stage"):
         runs.run_stage("transform", run)
 
 
 def test_stage_order(runs, sources):
     run = runs.start()
-    with pytest.raises(StageOrderError, match="no run yet. Run 'extract'"):
+    with pytest.raises(ForeignLayer, match="raw, written by nobody"):
         runs.run_stage("staging", run)
-    with pytest.raises(StageOrderError, match="Run 'staging'"):
+    with pytest.raises(ForeignLayer, match="staging, written by nobody"):
         runs.run_stage("final", run)
 
 
 def test_interleaved_runs(runs, sources):
     a, b = runs.start(run_id="a"), runs.start(run_id="b")
     runs.run_stage("extract", a, sources)
-    with pytest.raises(StageOrderError, match="data from run a"):
+    with pytest.raises(ForeignLayer, match="written by a"):
         runs.run_stage("staging", b)
     runs.run_stage("extract", b, sources)
     runs.run_stage("extract", b, sources)  # a retry
-    with pytest.raises(StageOrderError, match="data from run b"):
+    with pytest.raises(ForeignLayer, match="written by b"):
         runs.run_stage("staging", a)
     runs.run_stage("staging", b)
 
@@ -121,6 +136,6 @@ def test_latest_and_audit(spark):
     assert [r.run_id for r in H.recent_runs(runs, diagnoses, 1).collect()] == ["b"]
     audit = {r.run_id: r.problems for r in H.audit_runs(runs, diagnoses, reports, gates).collect()}
     assert audit["a"] == []
-    assert audit["b"] == ["run never finished", "no report was written", "quality gate did not fail on a broken run"]
+    assert audit["b"] == ["unfinished", "no_report", "fault_not_gated"]
     wrong = H.audit_runs(runs.filter("run_id = 'a'"), diagnoses, reports, gates, "'null_spike'").first().problems
-    assert "run is for none, expected null_spike" in wrong and "broken run diagnosed as HEALTHY" in wrong
+    assert "other_scenario" in wrong and "fault_not_diagnosed" in wrong

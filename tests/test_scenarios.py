@@ -85,7 +85,7 @@ def test_dropped_key_evidence(diagnosed):
     assert loss.evidence.unmatched_rows == int(loss.expected) - int(loss.actual) == 2900
     assert loss.evidence.match_if_zero_padded == 2900
     assert loss.evidence.loan_types_missing_from_final == ["CREDIT_CARD"]
-    assert [r.value for r in d.lost_values.collect()] == ["CREDIT_CARD"]
+    assert [r.value for r in d.finding_values.collect()] == ["CREDIT_CARD"]
     worst = d.segments.filter("verdict = 'measures'").orderBy("magnitude", ascending=False).first()
     assert worst.segment == "CARD_PLATFORM" and worst.actual == 0
 
@@ -119,7 +119,7 @@ def test_report_and_gate(diagnosed):
     assert row.status == "FAILED" and row.symptom_count == 2 and row.checks["key_integrity"] == "FAIL"
     assert row.checks["schema"] == "PASS" and len(row.checks) == 7
     assert row.impact.final_loan_rows == 11650 and row.layers["raw.loans"].rows == 15000
-    with pytest.raises(G.DataQualityError, match="JOIN_KEY_MISMATCH at raw->staging"):
+    with pytest.raises(G.DataQualityError, match="JOIN_KEY_MISMATCH raw->staging"):
         G.quality_gate(report)
     assert G.quality_gate(diagnosed("clean").report()) == "HEALTHY"
     assert G.summary(report).first().symptoms == 2

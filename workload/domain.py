@@ -5,10 +5,7 @@ The SQL texts run unchanged on Spark and on the oracle engine.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 from strataudit.config import AuditConfig, loan_config
 from strataudit.operators import layers as L
@@ -56,15 +53,8 @@ def config() -> AuditConfig:
                          "annual_income double")
 
 
-SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table. Its schema is read from the file once; reading it again would be a job each time."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    if path not in SCHEMAS:
-        SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # 35 of every 100 customer numbers; the modulo form has a twin on the oracle engine, a hash has not
@@ -82,6 +72,13 @@ def raw_tables(spark: SparkSession, sf_dir: str, scenario: str = "clean") -> Tab
     return {"raw.customers": customers, "raw.loans": loans}
 
 
+def repeated_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw loans of which every fifth arrives a second time, later and with a higher balance, as ``_ingest_seq`` tells."""
+    loans = raw_tables(spark, sf_dir)["raw.loans"].selectExpr("*", "cast(substr(loan_id, 2) AS bigint) AS n")
+    again = loans.filter("n % 5 = 0").selectExpr(*[c if c != "balance" else "balance + 1000 AS balance" for c in loans.columns])
+    return loans.selectExpr("*", "2 * n AS _ingest_seq").unionByName(again.selectExpr("*", "2 * n + 1 AS _ingest_seq")).drop("n")
+
+
 def staged_tables(raw: Tables, scenario: str = "clean") -> Tables:
     customers, loans = L.clean_customers(raw["raw.customers"]), L.clean_loans(raw["raw.loans"])
     if scenario == "dropped_join_key":

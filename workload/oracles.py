@@ -576,12 +576,12 @@ UNION ALL SELECT 'measures', 'staging.loans', segment, NULL, round(t0, 2), round
   ORDER BY started_at DESC, run_id DESC LIMIT 20""",
     "latest_run": HIST + "SELECT * FROM runs ORDER BY started_at DESC, run_id DESC LIMIT 1",
     "run_audit": HIST + """SELECT r.run_id, r.scenario, d.status, p.source AS report_by, coalesce(gate_failed, false) AS gate_failed,
-  concat_ws('; ', CASE WHEN finished_at IS NULL THEN 'run never finished' END, CASE WHEN d.status IS NULL THEN 'no diagnosis was saved' END,
-    CASE WHEN p.source IS NULL THEN 'no report was written' END,
-    CASE WHEN r.scenario = 'none' AND d.status <> 'HEALTHY' THEN 'healthy run diagnosed as ' || d.status END,
-    CASE WHEN r.scenario = 'none' AND gate_failed THEN 'quality gate failed on a healthy run' END,
-    CASE WHEN r.scenario <> 'none' AND d.status <> 'FAILED' THEN 'broken run diagnosed as ' || d.status END,
-    CASE WHEN r.scenario <> 'none' AND NOT gate_failed THEN 'quality gate did not fail on a broken run' END) AS problems
+  concat_ws('; ', CASE WHEN finished_at IS NULL THEN 'unfinished' END, CASE WHEN d.status IS NULL THEN 'no_diagnosis' END,
+    CASE WHEN p.source IS NULL THEN 'no_report' END,
+    CASE WHEN r.scenario = 'none' AND d.status <> 'HEALTHY' THEN 'sound_run_diagnosed' END,
+    CASE WHEN r.scenario = 'none' AND gate_failed THEN 'sound_run_gated' END,
+    CASE WHEN r.scenario <> 'none' AND d.status <> 'FAILED' THEN 'fault_not_diagnosed' END,
+    CASE WHEN r.scenario <> 'none' AND NOT gate_failed THEN 'fault_not_gated' END) AS problems
   FROM runs r LEFT JOIN diagnoses d USING (run_id) LEFT JOIN reports p USING (run_id) LEFT JOIN gates g USING (run_id)""",
     "layer_flow": HIST + """, marks AS (SELECT run_id, transition, min(rank) AS best FROM ranked GROUP BY ALL),
 sized AS (SELECT *, CASE layer WHEN 'raw' THEN 0 WHEN 'staging' THEN 1 ELSE 2 END AS layer_idx,
@@ -605,3 +605,27 @@ FROM sized s LEFT JOIN marks m ON m.run_id = s.run_id AND m.transition = s.trans
 for _s in SCENARIOS:
     ORACLES[f"findings_{_s}"] = findings(_s)
     ORACLES[f"diagnosis_{_s}"] = diagnosis(_s)
+
+TOTAL = "(SELECT sum(balance) FROM stg_loans)"
+ORACLES |= {
+    "clean_customers_blanks": ORACLES["clean_customers"],  # the blanks are all cut off
+    "clean_loans_repeated_keys": over("clean", "SELECT loan_id, source_system, status, balance FROM stg_loans"),  # first arrivals stay
+    "measure_drift_repeated_keys": over("clean", f"""SELECT transition, round({TOTAL}, 2) AS expected_total, round({TOTAL}, 2) AS actual_total,
+  0.0::double AS drift_pct FROM (VALUES ('raw->staging'), ('staging->final')) t(transition)"""),
+    "finding_values_dropped_join_key": over("dropped_join_key", """SELECT 'dropped_join_key' AS run_id, 'final.loan_portfolio' AS "table",
+  'missing loan_type' AS kind, loan_type AS value FROM (SELECT loan_type FROM stg_loans EXCEPT SELECT loan_type FROM portfolio)"""),
+    "findings_missing_column": """SELECT c AS run_id, 'SCHEMA_DRIFT' AS category, 'source->raw' AS transition, 'raw.loans' AS "table", c AS "column"
+  FROM (VALUES ('balance'), ('source_system'), ('status'), ('customer_id')) t(c)""",
+    "landed_then_cleaned": ORACLES["clean_loans"],
+    "run_state": over("clean", """SELECT 'r1' AS run_id, 'none' AS scenario, true AS finished, layer, "table", n AS "rows" FROM (
+  SELECT 'raw' AS layer, 'customers' AS "table", count(*) AS n FROM raw_customers UNION ALL SELECT 'raw', 'loans', count(*) FROM raw_loans
+  UNION ALL SELECT 'staging', 'customers', count(*) FROM stg_customers UNION ALL SELECT 'staging', 'loans', count(*) FROM stg_loans
+  UNION ALL SELECT 'final', 'loan_portfolio', count(*) FROM portfolio
+  UNION ALL SELECT 'final', 'portfolio_summary', count(DISTINCT loan_type) FROM portfolio)"""),
+    "layer_owner": "SELECT * FROM (VALUES ('raw', 'r2'), ('staging', 'r1'), ('final', 'r1')) t(layer, run_id)",
+    "profiles_replaced": ORACLES["profile_raw_loans"],
+    "report_roundtrip": ORACLES["diagnosis_null_spike"],
+    "gate_summary": " UNION ALL ".join(
+        f"""SELECT run_id, status, root_category AS category, root_transition AS transition, root_table AS "table", root_column AS "column",
+  symptom_count AS symptoms, status = 'FAILED' AS stopped FROM ({ORACLES[f'diagnosis_{s}']}) AS {s}""" for s in ("clean", "null_spike")),
+}

@@ -17,6 +17,9 @@ from strataudit.plans import history as H
 from strataudit.plans import reports as N
 from strataudit.plans.checks import Checks
 from strataudit.plans.findings import SEGMENT_DDL
+from strataudit.plans.runs import Runs
+from strataudit.sources.history import History
+from strataudit.sources.layers import LayerStore, scratch_root
 from strataudit.sources.local import local_frame
 from workload import domain as D
 from workload import history as W
@@ -45,6 +48,29 @@ def clean_loans(spark, sf):
     return D.layers(spark, sf)["staging.loans"]
 
 
+@query
+def clean_customers_blanks(spark, sf):
+    """States and keys between blanks of several kinds, ASCII and not."""
+    raw = D.raw_tables(spark, sf)["raw.customers"].selectExpr(
+        "concat('\\u00a0', customer_id, '\\u2003') AS customer_id", "full_name",
+        "concat('\\u001c\\t', state, '\\u3000\\u0085') AS state", "credit_score", "annual_income")
+    return L.clean_customers(raw)
+
+
+@query
+def clean_loans_repeated_keys(spark, sf):
+    return L.clean_loans(D.repeated_loans(spark, sf)).select("loan_id", "source_system", "status", "balance")
+
+
+@query
+def measure_drift_repeated_keys(spark, sf):
+    raw = D.repeated_loans(spark, sf)
+    staged = L.clean_loans(raw)
+    layers = {"raw.loans": raw, "staging.loans": staged, "final.loan_portfolio": staged}
+    return R.measure_drift(R.segment_totals(layers, MEASURE, SEGMENT), MEASURE).selectExpr(
+        "transition", "round(expected_total, 2) AS expected_total", "round(actual_total, 2) AS actual_total", "round(drift_pct, 4) AS drift_pct")
+
+
 @query
 def clean_loans_text_balance(spark, sf):
     return D.layers(spark, sf, "type_change")["staging.loans"].select("loan_id", "source_system", "status", "balance")
@@ -382,19 +408,23 @@ def _diagnosis(spark, sf, scenario):
     return G.diagnose(D.stored_layers(spark, sf, scenario), CFG, scenario).close()
 
 
+def _diagnosis_columns(report: DataFrame) -> DataFrame:
+    return report.selectExpr(
+        "run_id", "status", "root_cause.category AS root_category", "root_cause.transition AS root_transition",
+        "root_cause.table AS root_table", "root_cause.column AS root_column", "symptom_count",
+        "array_join(transform(symptoms, s -> concat(s.category, ' at ', s.transition)), ', ') AS symptoms",
+        "array_join(expected_changes, ', ') AS expected_changes",
+        "array_join(array_sort(map_keys(map_filter(checks, (k, v) -> v = 'FAIL'))), ', ') AS failed_checks",
+        "impact.final_loan_rows", "impact.final_distinct_loans", "impact.final_total_balance",
+        "impact.staging_loan_rows")
+
+
 def _register_scenario(scenario: str) -> None:
     def findings(spark, sf):
         return _diagnosis(spark, sf, scenario).findings.select(*FINDING_KEYS)
 
     def diagnosis(spark, sf):
-        return _diagnosis(spark, sf, scenario).report().selectExpr(
-            "run_id", "status", "root_cause.category AS root_category", "root_cause.transition AS root_transition",
-            "root_cause.table AS root_table", "root_cause.column AS root_column", "symptom_count",
-            "array_join(transform(symptoms, s -> concat(s.category, ' at ', s.transition)), ', ') AS symptoms",
-            "array_join(expected_changes, ', ') AS expected_changes",
-            "array_join(array_sort(map_keys(map_filter(checks, (k, v) -> v = 'FAIL'))), ', ') AS failed_checks",
-            "impact.final_loan_rows", "impact.final_distinct_loans", "impact.final_total_balance",
-            "impact.staging_loan_rows")
+        return _diagnosis_columns(_diagnosis(spark, sf, scenario).report())
 
     QUERIES[f"findings_{scenario}"] = findings
     QUERIES[f"diagnosis_{scenario}"] = diagnosis
@@ -417,10 +447,106 @@ def finding_evidence(spark, sf):
 
 @query
 def finding_segments(spark, sf):
-    return _diagnosis(spark, sf, "duplicate_rows").segments.select(
+    found = G.diagnose(D.stored_layers(spark, sf, "duplicate_rows"), CFG, "duplicate_rows")
+    return found.segments.select(
         "verdict", "table", "segment", "extra_rows", "expected", "actual", "delta")
 
 
+@query
+def finding_values_dropped_join_key(spark, sf):
+    """All values behind a finding that shows a part of them."""
+    return _diagnosis(spark, sf, "dropped_join_key").finding_values.select("run_id", "table", "kind", "value")
+
+
+@query
+def findings_missing_column(spark, sf):
+    """A diagnosis of raw loans that lost a column, for each of four columns, from the lost column's own finding."""
+    parts = []
+    for column in ("balance", "source_system", "status", "customer_id"):
+        layers = D.stored_layers(spark, sf)
+        found = G.diagnose(layers | {"raw.loans": layers["raw.loans"].drop(column)}, CFG, column)
+        parts.append(found.findings.filter("severity <> 'info'").select("run_id", "category", "transition", "table", "column"))
+        found.close()
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+# ---------------------------------------------------------------- sinks: written to a new root, read back
+
+def _runs(spark) -> Runs:
+    root = scratch_root(spark)
+    return Runs(LayerStore(spark, root), History(spark, root), CFG)
+
+
+def _sources(spark, sf) -> dict:
+    return {name.split(".")[1]: df for name, df in D.raw_tables(spark, sf).items()}
+
+
+@query
+def landed_then_cleaned(spark, sf):
+    """Loans landed, then cleaned from what landing wrote."""
+    runs = _runs(spark)
+    run = runs.start()
+    runs.run_stage("extract", run, _sources(spark, sf), arrival="1")
+    runs.run_stage("staging", run)
+    return runs.store.read("staging.loans")
+
+
+@query
+def run_state(spark, sf):
+    """Rows per table of each layer that a run recorded."""
+    runs = _runs(spark)
+    runs.run_all(_sources(spark, sf), "none", "r1")
+    state = H.current_runs(runs.history.of_run("run_events", "r1"))
+    return state.selectExpr("run_id", "scenario", "finished_at >= started_at AS finished", "explode(row_counts) AS (layer, tables)").selectExpr(
+        "run_id", "scenario", "finished", "layer", "explode(tables) AS (table, rows)")
+
+
+@query
+def layer_owner(spark, sf):
+    """Who wrote each layer, after a second run has written the first layer again."""
+    runs = _runs(spark)
+    runs.run_all(_sources(spark, sf), "none", "r1")
+    runs.run_stage("extract", runs.start(run_id="r2"), _sources(spark, sf))
+    return H.layer_owners(runs.history.read("layer_writes")).select("layer", "run_id")
+
+
+@query
+def profiles_replaced(spark, sf):
+    """Profiles of a run that were stored twice: the second replace the first."""
+    history = History(spark, scratch_root(spark))
+    made = P.profile_tables([("raw.loans", D.raw_tables(spark, sf)["raw.loans"], ("loan_id",))]).selectExpr(
+        "'r1' AS run_id", "'raw' AS layer", "*")
+    history.replace_run("layer_profiles", made.selectExpr(*[c if c != "row_count" else "0L AS row_count" for c in made.columns]))
+    history.replace_run("layer_profiles", made)
+    return history.of_run("layer_profiles", "r1").drop("run_id", "layer")
+
+
+@query
+def report_roundtrip(spark, sf):
+    """A diagnosis stored as JSON and rebuilt from it."""
+    runs = _runs(spark)
+    runs.run_all(_sources(spark, sf), "null_spike", "null_spike",
+                 {"raw.customers": lambda df: M.null_out(df, "credit_score", D.THIRD_OF_CUSTOMERS)})
+    runs.diagnose().close()
+    rebuilt = H.load_report(runs.history.of_run("diagnoses", "null_spike"))
+    return _diagnosis_columns(rebuilt)
+
+
+@query
+def gate_summary(spark, sf):
+    """What a scheduler sees of each scenario, and whether the gate stops it."""
+    parts = []
+    for scenario in ("clean", "null_spike"):
+        report = _diagnosis(spark, sf, scenario).report()
+        try:
+            G.quality_gate(report)
+            stopped = False
+        except G.DataQualityError:
+            stopped = True
+        parts.append(G.summary(report).selectExpr("run_id", "status", "category", "transition", "table", "column", "symptoms", f"{stopped} AS stopped"))
+    return parts[0].unionByName(parts[1])
+
+
 # ---------------------------------------------------------------- run history
 
 @query
