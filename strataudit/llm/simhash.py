@@ -87,24 +87,23 @@ class Anchors:
                 found[syndrome].append(sum(1 << j for j in bits))
         return found
 
-    def keys(self, fp: str, weight: int) -> str:
-        """SQL array of the keys of all anchors within ``weight`` bits of a block of ``fp``; the key names the block."""
+    def keys(self, fp: str, weight: int | None = None) -> str:
+        """SQL array of the keys of all anchors within ``weight`` bits of a block of ``fp``, or of each block's home
+        alone; the key names the block."""
         arrays = []
         for i, (at, width) in enumerate(self.blocks):
             block = f"(shiftrightunsigned({fp}, {at}) & {(1 << width) - 1}L)"
-            masks = ", ".join("array(" + ", ".join(f"{m}L" for m in row) + ")" for row in self._errors(width, weight))
+            rows = [row[:1] for row in self._errors(width, 1)] if weight is None else self._errors(width, weight)
+            masks = ", ".join("array(" + ", ".join(f"{m}L" for m in row) + ")" for row in rows)
             arrays.append(f"transform(get(array({masks}), cast({self._syndrome(block, width)} as int)), "
                           f"m -> ({block} ^ m) | {i << 40}L)")
         return f"concat({', '.join(arrays)})"
 
     def first_meeting(self, x: str, y: str, key: str) -> str:
-        """True in the first block in which the two are close, so that each pair counts once."""
-        cases = []
-        for i in range(1, len(self.blocks)):
-            far = [f"bit_count(({x} ^ {y}) & {self._signed(((1 << w) - 1) << at)}L) > {self.within}"
-                   for at, w in self.blocks[:i]]
-            cases.append(f"WHEN {i} THEN {' AND '.join(far)}")
-        return f"CASE shiftright({key}, 40) {' '.join(cases)} ELSE true END" if cases else "true"
+        """True in the first block in which the two differ by no more than some block must, so that each pair counts once."""
+        apart = [f"bit_count(({x} ^ {y}) & {self._signed(((1 << w) - 1) << at)}L)" for at, w in self.blocks]
+        cases = [" AND ".join([f"{apart[i]} <= {self.within}", *(f"{d} > {self.within}" for d in apart[:i])]) for i in range(len(apart))]
+        return f"CASE shiftright({key}, 40) {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(cases))} END"
 
     @staticmethod
     def _signed(mask: int) -> int:
@@ -120,7 +119,7 @@ def links(fps: DataFrame, distance: int = 4, blocks: int = 3) -> DataFrame:
     """
     code = Anchors(distance, blocks)
     fps = fps.select("fp").where("fp is not null").distinct()
-    home = fps.select(F.explode(F.expr(code.keys("fp", 1))).alias("key"), F.col("fp").alias("a"))
+    home = fps.select(F.explode(F.expr(code.keys("fp"))).alias("key"), F.col("fp").alias("a"))
     near = fps.select(F.explode(F.expr(code.keys("fp", 1 + code.within))).alias("key"), F.col("fp").alias("b"))
     close = f"a < b AND bit_count(a ^ b) <= {distance} AND {code.first_meeting('a', 'b', 'h.key')}"
     return home.alias("h").join(near.alias("n"), (F.col("h.key") == F.col("n.key")) & F.expr(close)).select("a", "b")
