@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The known kinds in their order, their patterns, the group that is measured and its least length.
@@ -53,12 +53,13 @@ def _pairs(token: Column) -> Column:
                                                   lambda i: code(i) * CODES + code(i + 1)))
 
 
-def train(docs: DataFrame, text_col: str = "text", least: int = 12, prior: float = 0.5) -> list[float]:
+def train(docs: DataFrame, text_col: str = "text", least: int = 12, prior: float = 0.5, lean: float = 5.0) -> list[float]:
     """For each pair of characters, log P(second | first) among random strings less that among ordinary identifiers.
 
     Samples label themselves: values that a known kind captures are random strings; runs of ``least`` or more token
-    characters outside of such matches are ordinary identifiers. All rows count. ``prior`` is added to each count, so
-    pairs that were never seen, or an empty table, decide nothing.
+    characters outside of such matches are ordinary identifiers. All rows count. A pair's
+    probability leans on that of its second character, as by ``lean`` more pairs, and that on even odds, as by ``prior`` more of each:
+    characters that identifiers lack tell, even in pairs never seen, and an empty table decides nothing.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     random = docs.select(F.explode(_known(text)).alias("s")).select(F.lit(1).alias("label"), F.col("s.value").alias("t"))
@@ -69,12 +70,19 @@ def train(docs: DataFrame, text_col: str = "text", least: int = 12, prior: float
         .select(F.lit(0).alias("label"), "t")
     counts = (random.union(ordinary).select("label", F.explode(_pairs(F.col("t"))).alias("pair"))
               .groupBy("pair").agg(F.sum("label").alias("n1"), F.sum(1 - F.col("label")).alias("n0")))
-    first = (F.col("pair") / CODES).cast("int")
-    sums = counts.groupBy(first.alias("first")).agg(F.sum("n1").alias("m1"), F.sum("n0").alias("m0"))
-    log_p = lambda n, m: F.ln((F.coalesce(n, F.lit(0)) + prior) / (F.coalesce(m, F.lit(0)) + prior * SYMBOLS))
+    first, second = (F.col("pair") / CODES).cast("int"), F.col("pair") % CODES
+    after = counts.groupBy(first.alias("first")).agg(F.sum("n1").alias("m1"), F.sum("n0").alias("m0"))
+    alone = counts.groupBy(second.alias("second")).agg(F.sum("n1").alias("u1"), F.sum("n0").alias("u0"))
     every = docs.sparkSession.range(CODES * CODES).select(F.col("id").cast("int").alias("pair"))
-    ratios = (every.join(counts, "pair", "left").join(sums, first == F.col("first"), "left")
-              .select("pair", (log_p(F.col("n1"), F.col("m1")) - log_p(F.col("n0"), F.col("m0"))).alias("ratio")))
+    whole = Window.partitionBy()  # a row per pair of characters
+    rows = (every.join(counts, "pair", "left").join(after, first == F.col("first"), "left").join(alone, second == F.col("second"), "left")
+            .fillna(0, ["n1", "n0", "m1", "m0", "u1", "u0"]).withColumn("t1", F.sum("n1").over(whole)).withColumn("t0", F.sum("n0").over(whole)))
+
+    def log_p(label: int) -> Column:
+        n, m, u, t = (F.col(f"{c}{label}") for c in "nmut")
+        return F.ln((n + lean * (u + prior) / (t + prior * SYMBOLS)) / (m + lean))
+
+    ratios = rows.select("pair", (log_p(1) - log_p(0)).alias("ratio"))
     return [row["ratio"] for row in ratios.sort("pair").collect()]  # CODES * CODES rows, whatever the corpus
 
 
