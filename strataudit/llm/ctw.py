@@ -168,7 +168,7 @@ def _scorer(id_type: pa.DataType):
             gram, row = grams.split(packed)
             at, there = grams.found(known, gram.astype(np.int64))
             assert there.all()
-            score = np.bincount(row, scores[at] * n, len(texts))
+            score = np.bincount(row, scores[at] * n, len(texts)).astype(np.float64)
             seen: dict[bytes, int] = {}
             tokens = np.fromiter((len(w) for w, _ in texts), np.int64, len(texts))
             number = np.fromiter((seen.setdefault(w, len(seen)) for ws, _ in texts for w in ws), np.int64, int(tokens.sum()))
