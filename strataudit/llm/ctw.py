@@ -18,6 +18,7 @@ PIECE = 1 << 20  # bytes of text whose grams are sorted at once
 CHUNK = 1 << 23  # bytes of text in a chunk, on average
 NEIGHBOURS = 2048  # whole ids that share a chunk
 WORD, GRAM = 0, 1
+COMMON = 1 << 17  # words, and grams, whose answers every worker gets; no more, whatever the corpus
 END = b"\n"
 
 
@@ -149,16 +150,16 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     return every.groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 0, F.col("p")).otherwise(1 - F.col("p")))).alias("score"))
 
 
-def _scorer(id_type: pa.DataType):
+def _scorer(id_type: pa.DataType, common):
     schema = pa.schema([("id", id_type), ("held_out", pa.bool_()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("logs", pa.float64()), ("score", pa.float64())])
 
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         def table(kind: int) -> tuple[np.ndarray, np.ndarray]:
             some = replies.filter(pa.array(np.asarray(replies.column("kind")) == kind))
-            keys = some.column("key").to_numpy()
+            keys, values = (np.concatenate((some.column(c).to_numpy(), x)) for c, x in zip(("key", "value"), common.value[kind], strict=True))
             order = np.argsort(keys)
-            return keys[order], some.column("value").to_numpy()[order]
+            return keys[order], values[order]
 
         (words, counts), (known, scores) = table(WORD), table(GRAM)
         logs, out = np.log10(counts + 1), []
@@ -190,7 +191,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     Tokens are the words, A-Z lower-cased, and an end. The model codes their bytes, spaces between them, and learns, as the
     base does, from all rows that are not ``held_out`` (by default every seventh or so, by a hash of the id). Each chunk
     of documents asks for the words and grams in it; the answers are joined by key and meet the chunk's texts again. So what
-    a task holds follows from the size of a chunk, and a frequent word or gram is one row per chunk.
+    a task holds follows from the size of a chunk. The ``COMMON`` most frequent words and grams go to every worker instead.
 
     Words go by a 64-bit hash. A null text is empty and has its end only; a null id is not held out; rows may repeat and
     each counts. An empty table gives an empty result; without training rows all probabilities are even. Other columns are not read.
@@ -203,10 +204,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     totals = written(ask(WORD).groupBy("key").agg(F.sum("n").cast("double").alias("value")), "words")
     gram_counts = written(ask(GRAM).groupBy(F.col("key").alias("gram")).agg(F.sum("n").alias("n")), "grams")
     scores = written(gram_scores(gram_counts).select(F.col("gram").alias("key"), F.col("score").alias("value")), "scores")
-    answers = [ask(kind).select("chunk", "key").distinct().join(found, "key").select("chunk", F.lit(kind).cast("tinyint").alias("kind"), "key", "value")
-               for kind, found in ((WORD, totals), (GRAM, scores))]
+    often = {WORD: totals.orderBy(F.desc("value"), "key").limit(COMMON),
+             GRAM: scores.join(F.broadcast(gram_counts.orderBy(F.desc("n"), "gram").limit(COMMON).select(F.col("gram").alias("key"))), "key")}
+    common = {}
+    for kind, rows_of in often.items():
+        pdf = rows_of.toPandas()  # COMMON rows at most
+        common[kind] = (pdf["key"].to_numpy(np.int64), pdf["value"].to_numpy(np.float64))
+    # What is common is asked for in nearly every chunk, so nearly all that must be joined and sent back is what is rare.
+    answers = [ask(kind).select("chunk", "key").join(F.broadcast(often[kind].select("key")), "key", "left_anti").join(found, "key")
+               .select("chunk", F.lit(kind).cast("tinyint").alias("kind"), "key", "value") for kind, found in ((WORD, totals), (GRAM, scores))]
     made = kept(rows.groupBy("chunk").cogroup(answers[0].union(answers[1]).groupBy("chunk")).applyInArrow(
-        _scorer(_arrow_type(rows)), f"id {column_type(rows, 'id')}, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, logs double, score double"))
+        _scorer(_arrow_type(rows), docs.sparkSession.sparkContext.broadcast(common)),
+        f"id {column_type(rows, 'id')}, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, logs double, score double"))
     n_words, n_different = totals.agg(F.sum("value"), F.count(F.when(F.col("value") > 0, 1))).first()
     ends = made.where("NOT held_out").count()
     n, v = int(n_words or 0) + ends, n_different + (ends > 0)

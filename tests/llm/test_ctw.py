@@ -65,6 +65,14 @@ def test_against_trees_written_out(spark):
         assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(words) + 1, sum(w in counts for w in words) + 1, n)
 
 
+def test_rare_answers_come_by_join(spark, sf_small, monkeypatch):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").where("doc_id % 4 = 0")
+    want = {r.doc_id: r for r in ctw.score(docs).collect()}
+    monkeypatch.setattr(ctw, "COMMON", 5)
+    for r in ctw.score(docs).collect():
+        assert abs(r.score - want[r.doc_id].score) < 1e-6 and abs(r.base_score - want[r.doc_id].base_score) < 1e-6 and r.n_known == want[r.doc_id].n_known
+
+
 def test_edges(edges, nothing):
     rows = ctw.score(edges).collect()
     assert len(rows) == edges.count() and all(r.score < 0 and math.isfinite(r.score) for r in rows)
