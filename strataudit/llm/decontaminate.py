@@ -19,12 +19,17 @@ MASKS = ("######", "##-#--##-##", "#-##--#-#-##-#", "###---#--#---##")
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
 
-def word_hashes(text: bytes, seen: dict[bytes, int]) -> np.ndarray:
-    """A 64-bit hash per word of a text in normal form; ``seen`` remembers words from text to text."""
-    words = normal(text).split()
-    for word in set(words) - seen.keys():
-        seen[word] = xxhash.xxh3_64_intdigest(word)
-    return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
+class WordHashes(dict):
+    """A 64-bit hash per word, computed when it is first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = xxhash.xxh3_64_intdigest(word)
+        return self[word]
+
+    def of(self, text: bytes) -> np.ndarray:
+        """The hashes of the words of a text in normal form."""
+        words = normal(text).split()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def seeds(words: np.ndarray, mask: str, number: int) -> np.ndarray:
@@ -42,11 +47,11 @@ def seeds(words: np.ndarray, mask: str, number: int) -> np.ndarray:
 
 def _hits(texts: list[bytes], masks: tuple[str, ...], wanted: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Row, places and hashes of its seeds, of all masks; only those that may be wanted."""
-    seen: dict[bytes, int] = {}
+    seen = WordHashes()
     for row, text in enumerate(texts):
-        words = word_hashes(text, seen)
+        words = seen.of(text)
         if len(seen) > 1 << 18:
-            seen = {}
+            seen = WordHashes()
         for number, mask in enumerate(masks):
             h = seeds(words, mask, number)
             at = np.flatnonzero(marks.among(wanted, h)) if wanted is not None else np.arange(len(h))
@@ -106,11 +111,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[bytes, int] = {}
+            seen = WordHashes()
             keep, out = [], []
             columns = (utf8(batch.column("doc_text")), utf8(batch.column("item_text")), batch.column("offsets").to_pylist())
             for row, (text, item, offsets) in enumerate(zip(*columns, strict=True)):
-                a, b = word_hashes(item, seen), word_hashes(text, seen)
+                a, b = seen.of(item), seen.of(text)
                 for offset in sorted(offsets):
                     equal, begin, end = _matched(a, b, offset)
                     if end - begin >= min(least_words, len(a)) and (equal >= share * len(a) or equal >= 13):

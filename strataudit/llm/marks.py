@@ -25,9 +25,11 @@ def marked(hashes: DataFrame, column: str) -> np.ndarray:
 
 def among(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether each hash may be in the set."""
-    hashes, there = hashes.view(np.uint64), np.ones(len(hashes), bool)
-    for shift in SHIFTS:
-        some = np.flatnonzero(there)
-        bit = ((hashes[some] >> np.uint64(shift)) & np.uint64(BITS - 1)).astype(np.int64)
-        there[some] = (marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+    hashes, some = hashes.view(np.uint64), None
+    for shift in SHIFTS:  # most hashes fail the first probe
+        bit = (((hashes if some is None else hashes[some]) >> np.uint64(shift)) & np.uint64(BITS - 1)).view(np.int64)
+        hit = np.flatnonzero((marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+        some = hit if some is None else some[hit]
+    there = np.zeros(len(hashes), bool)
+    there[some] = True
     return there
