@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from strataudit.llm.common import kept
 
+LINKS_PER_TASK = 1 << 19
+
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, for each node that has a link to another.
@@ -25,9 +27,10 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             return (edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
                     .union(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct())
         before = tuple(state)
+        edges = edges.coalesce(1 + state["n"] // LINKS_PER_TASK)  # a small graph needs few tasks; more links, more tasks
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = kept(small.union(low.select("u", F.col("m").alias("v"))).distinct())
