@@ -17,6 +17,7 @@ DEPTH = 4  # bytes of context; with the byte itself they fill the 40 bits of a p
 PIECE = 1 << 20  # bytes of text whose grams are sorted at once
 CHUNK = 1 << 23  # bytes of text in a chunk, on average
 NEIGHBOURS = 2048  # whole ids that share a chunk
+HELD = 1 << 19  # words, and grams, that a task holds before it passes their counts on
 WORD, GRAM = 0, 1
 COMMON = 1 << 17  # words, and grams, whose answers every worker gets; no more, whatever the corpus
 END = b"\n"
@@ -44,38 +45,69 @@ def chunk_of(rows: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
     return rows.withColumn("chunk", F.pmod(F.xxhash64(near), F.lit(n)))
 
 
+def _grams_of(texts: list[bytes], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of the texts, and how often they occur in those that are trained on."""
+    keys, counts, at = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= PIECE):
+            size += len(texts[end])
+            end += 1
+        packed, n = grams.packed(texts[at:end], DEPTH + 1)
+        gram, row = grams.split(packed)
+        keys, counts = grams.runs(np.concatenate((keys, gram)), np.concatenate((counts, n * train[at:end][row])))
+        at = end
+    return keys, counts
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, held_out, text) rows to (chunk, kind, key, n): how often training texts have each word and gram that
-    occurs in the chunk at all, held-out texts included."""
-    for batch in pieces(batches, "text", 8 * PIECE):
-        chunks, held = batch.column("chunk").to_numpy(), batch.column("held_out").to_numpy(zero_copy_only=False)
-        texts = [encoded(x) for x in utf8(batch.column("text"))]
-        for chunk in np.unique(chunks):
-            rows = np.flatnonzero(chunks == chunk)
-            words: dict[bytes, int] = {}
-            for i in rows:
-                one = 0 if held[i] else 1
-                for w in texts[i][0]:
-                    words[w] = words.get(w, 0) + one
-            yield _requests(chunk, WORD, np.fromiter(map(_word_hash, words), np.int64, len(words)), np.fromiter(words.values(), np.int64, len(words)))
-            keys, counts, at = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-            while at < len(rows):
-                end, size = at, 0
-                while end < len(rows) and (end == at or size + len(texts[rows[end]][1]) <= PIECE):
-                    size += len(texts[rows[end]][1])
-                    end += 1
-                some = rows[at:end]
-                packed, n = grams.packed([texts[i][1] for i in some], DEPTH + 1)
-                gram, row = grams.split(packed)
-                n = n * ~held[some][row].astype(bool)
-                keys, counts = grams.runs(np.concatenate((keys, gram)), np.concatenate((counts, n)))
-                at = end
-            yield _requests(chunk, GRAM, keys.astype(np.int64), counts)
-
-
-def _requests(chunk: int, kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk, np.int64)), pa.array(np.full(len(keys), kind, np.int8)),
-                                       pa.array(keys), pa.array(n.astype(np.int64))], names=["chunk", "kind", "key", "n"])
+    """(held_out, text) rows to (kind, key, n): how often training texts have each word and gram that occurs at all,
+    held-out texts included. A task names most of them once."""
+    words: dict[bytes, int] = {}
+    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys), pa.array(n)], names=["kind", "key", "n"])
+
+    def of_words() -> pa.RecordBatch:
+        return rows(WORD, np.fromiter(map(_word_hash, words), np.int64, len(words)), np.fromiter(words.values(), np.int64, len(words)))
+
+    for part in pieces(batches, "text", 4 * PIECE):
+        train = ~part.column("held_out").to_numpy(zero_copy_only=False)
+        texts = [encoded(x) for x in utf8(part.column("text"))]
+        for one, (found, _) in zip(train.astype(int).tolist(), texts, strict=True):
+            for w in found:
+                words[w] = words.get(w, 0) + one
+        more, n = _grams_of([x[1] for x in texts], train)
+        keys, counts = grams.runs(np.concatenate((keys, more)), np.concatenate((counts, n)))
+        if len(words) > HELD:
+            yield of_words()
+            words = {}
+        if len(keys) > HELD:
+            yield rows(GRAM, keys.astype(np.int64), counts)
+            keys, counts = keys[:0], counts[:0]
+    yield of_words()
+    yield rows(GRAM, keys.astype(np.int64), counts)
+
+
+def _asking(common):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(chunk, text) rows to (chunk, kind, key): the words and grams of each chunk whose answers are not at hand."""
+        known = {kind: np.sort(keys) for kind, (keys, _) in common.value.items()}
+        for part in pieces(batches, "text", 8 * PIECE):
+            chunks = part.column("chunk").to_numpy()
+            texts = [encoded(x) for x in utf8(part.column("text"))]
+            for chunk in np.unique(chunks):
+                some = [texts[i] for i in np.flatnonzero(chunks == chunk)]
+                words = {w for ws, _ in some for w in ws}
+                asked = {WORD: np.fromiter(map(_word_hash, words), np.int64, len(words)),
+                         GRAM: _grams_of([x[1] for x in some], np.ones(len(some), bool))[0].astype(np.int64)}
+                for kind, keys in asked.items():
+                    keys = keys[~grams.found(known[kind], keys)[1]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk, np.int64)), pa.array(np.full(len(keys), kind, np.int8)),
+                                                      pa.array(keys)], names=["chunk", "kind", "key"])
+
+    return run
 
 
 def log_kt(a: Column, b: Column) -> Column:
@@ -107,7 +139,7 @@ def tree(counts: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
     """
     decided = bits(counts.where("n > 0"))
     level = decided.groupBy("context", "node").agg(F.sum(F.col("n") * (1 - F.col("bit"))).alias("a"), F.sum(F.col("n") * F.col("bit")).alias("b"))
-    level = kept(level.withColumn("own", log_kt(F.col("a"), F.col("b"))).withColumn("weighted", F.col("own")).withColumn("below", F.lit(None).cast("double")))
+    level = written(level.withColumn("own", log_kt(F.col("a"), F.col("b"))).withColumn("weighted", F.col("own")).withColumn("below", F.lit(None).cast("double")), "leaves")
     levels = [level]
     for d in range(depth - 1, -1, -1):
         up = level.groupBy(F.col("context").bitwiseAND((1 << 8 * d) - 1).alias("context"), "node").agg(
@@ -190,7 +222,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
 
     Tokens are the words, A-Z lower-cased, and an end. The model codes their bytes, spaces between them, and learns, as the
     base does, from all rows that are not ``held_out`` (by default every seventh or so, by a hash of the id). Each chunk
-    of documents asks for the words and grams in it; the answers are joined by key and meet the chunk's texts again. So what
+    of documents asks for the rare words and grams in it; the answers are joined by key and meet the chunk's texts again. So what
     a task holds follows from the size of a chunk. The ``COMMON`` most frequent words and grams go to every worker instead.
 
     Words go by a 64-bit hash. A null text is empty and has its end only; a null id is not held out; rows may repeat and
@@ -199,10 +231,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     if held_out is None:
         held_out = F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2
     rows = chunk_of(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out")))
-    asked = written(rows.select("chunk", "held_out", "text").mapInArrow(_counted, "chunk bigint, kind tinyint, key bigint, n bigint"), "asked")
-    ask = lambda kind: asked.where(F.col("kind") == kind)
-    totals = written(ask(WORD).groupBy("key").agg(F.sum("n").cast("double").alias("value")), "words")
-    gram_counts = written(ask(GRAM).groupBy(F.col("key").alias("gram")).agg(F.sum("n").alias("n")), "grams")
+    counted = rows.select("held_out", "text").mapInArrow(_counted, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counted = written(counted, "counts")
+    totals = counted.where(F.col("kind") == WORD).select("key", F.col("n").cast("double").alias("value"))
+    gram_counts = counted.where(F.col("kind") == GRAM).select(F.col("key").alias("gram"), "n")
     scores = written(gram_scores(gram_counts).select(F.col("gram").alias("key"), F.col("score").alias("value")), "scores")
     often = {WORD: totals.orderBy(F.desc("value"), "key").limit(COMMON),
              GRAM: scores.join(F.broadcast(gram_counts.orderBy(F.desc("n"), "gram").limit(COMMON).select(F.col("gram").alias("key"))), "key")}
@@ -210,11 +242,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     for kind, rows_of in often.items():
         pdf = rows_of.toPandas()  # COMMON rows at most
         common[kind] = (pdf["key"].to_numpy(np.int64), pdf["value"].to_numpy(np.float64))
-    # What is common is asked for in nearly every chunk, so nearly all that must be joined and sent back is what is rare.
-    answers = [ask(kind).select("chunk", "key").join(F.broadcast(often[kind].select("key")), "key", "left_anti").join(found, "key")
-               .select("chunk", F.lit(kind).cast("tinyint").alias("kind"), "key", "value") for kind, found in ((WORD, totals), (GRAM, scores))]
-    made = kept(rows.groupBy("chunk").cogroup(answers[0].union(answers[1]).groupBy("chunk")).applyInArrow(
-        _scorer(_arrow_type(rows), docs.sparkSession.sparkContext.broadcast(common)),
+    shared = docs.sparkSession.sparkContext.broadcast(common)
+    # What is common would be asked for in nearly every chunk, so nearly all that is joined and sent back is what is rare.
+    found = totals.select(F.lit(WORD).cast("tinyint").alias("kind"), "key", "value").union(scores.select(F.lit(GRAM).cast("tinyint"), "key", "value"))
+    answers = (rows.select("chunk", "text").mapInArrow(_asking(shared), "chunk bigint, kind tinyint, key bigint")
+               .join(found, ["kind", "key"]).select("chunk", "kind", "key", "value"))
+    made = kept(rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _scorer(_arrow_type(rows), shared),
         f"id {column_type(rows, 'id')}, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, logs double, score double"))
     n_words, n_different = totals.agg(F.sum("value"), F.count(F.when(F.col("value") > 0, 1))).first()
     ends = made.where("NOT held_out").count()
