@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -135,21 +135,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``docs`` are not read.
     """
     fps = kept(fingerprints(docs, id_col, text_col, shingle))
+    return grouped(fps, links(fps, distance, blocks), id_col)
+
+
+def grouped(fps: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
+    """``id_col``, ``fp`` and ``component_id`` for rows with a node ``fp`` each and links ``a``, ``b`` between nodes."""
     least = fps.groupBy("fp").agg(F.min(id_col).alias("least"))
-    roots = components(links(fps, distance, blocks), "a", "b").withColumnRenamed("node", "fp")
+    roots = components(links, "a", "b").withColumnRenamed("node", "fp")
     member = kept(least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(smallest, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(id_col, "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                find: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
     """The rows of ``docs`` that are the first of their component, by id (null first) and text hash.
 
-    Of rows that agree in id and text, one stays. See ``near_duplicates``.
+    Of rows that agree in id and text, one stays. ``find`` names the components, see ``near_duplicates``.
     """
     row = F.struct(id_col, F.xxhash64(id_col, text_col).alias("k"))
-    found = near_duplicates(docs.select(row.alias("row"), text_col), "row", text_col, **options)
+    found = find(docs.select(row.alias("row"), text_col), "row", text_col, **options)
     each = found.groupBy(F.col("row.k").alias("k_")).agg(F.bool_or(F.col("row") != F.col("component_id")).alias("goes"), F.count("*").alias("rows"))
     marked = docs.withColumn("k_", F.xxhash64(id_col, text_col)).join(
         written(each.where("goes OR rows > 1"), "goes"), "k_", "left").where("NOT coalesce(goes, false)")
