@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strataudit.llm.common import column_type, pieces
 
-WIDTH = 24  # bytes of a word that features see, with a mark at either end: of longer ones, the first and last 11
+WIDTH = 24  # bytes of a word that features see, with a mark at either end: longer ones are several words, see ``split``
 SIZE = 1 << 16  # weights per language
 PIECE = 1 << 22  # bytes of text that are labelled at once
 STEP = 1 << 14  # words whose features are looked up at once
@@ -29,8 +29,8 @@ def _slots(h: np.ndarray, kind: int) -> np.ndarray:
 
 
 def _bytes_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A row of bytes for each word, between its marks, and how many they are."""
-    cut = [b"^" + (w if len(w) <= WIDTH - 2 else w[:11] + w[-11:]) + b"$" for w in words]
+    """A row of bytes for each word (see ``split``), between its marks, and how many they are."""
+    cut = [b"^" + w + b"$" for w in words]
     size = np.fromiter(map(len, cut), np.int64, len(cut))
     out = np.zeros((len(cut), WIDTH), np.uint8)
     out[np.arange(WIDTH) < size[:, None]] = np.frombuffer(b"".join(cut), np.uint8)
@@ -107,8 +107,23 @@ class Crf:
         return out
 
 
+def split(word: bytes) -> list[bytes]:
+    """The word, or if it is too wide for its features, pieces of it that are cut between characters."""
+    out, at = [], 0
+    while len(word) - at > WIDTH - 2:
+        end = at + WIDTH - 2
+        while word[end] & 0xC0 == 0x80:  # inside a character
+            end -= 1
+        out.append(word[at:end])
+        at = end
+    out.append(word[at:])
+    return out
+
+
 def tokens(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "replace").split()
+    """The runs of non-blank characters, lower-cased; long ones, as in scripts without spaces, in pieces: every byte is in a feature."""
+    words = (text or "").lower().encode("utf-8", "replace").split()
+    return [x for w in words for x in (split(w) if len(w) > WIDTH - 2 else (w,))]
 
 
 def fit(texts: list[tuple[str, str]], lexicon_size: int = 2000, length: int = 48, epochs: int = 6, batch: int = 128, rate: float = 0.2,
@@ -192,7 +207,7 @@ def sample(docs: DataFrame, per_language: int, most_bytes: int, most_languages:
 
 
 def predict(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``lang_pred``, ``score`` and ``lang_words``, how many words each language has by their most probable one.
+    """``id_col``, ``lang_pred``, ``score`` and ``lang_words``, how many words (of long ones: pieces) each language has by their most probable one.
 
     A document's language is the one with the largest sum of probabilities over its words with a letter; ``score`` is its
     share. Without a letter, or with a null text, it is ``und`` with score 0.

@@ -45,3 +45,18 @@ def test_edges(spark, edges, nothing):
     assert {r.lang_pred for r in language.identify(unlabelled).collect()} == {"und"}
     digits = spark.createDataFrame([(1, "12 34 !!")], "doc_id long, text string")
     assert language.predict(digits, language.fit([("a b c d e f g h " * 20, "x"), ("q r s t " * 40, "y")])).first().lang_pred == "und"
+
+
+def test_middle_of_unspaced_text_decides(spark):
+    rng = np.random.default_rng(3)
+    some = lambda chars, n: "".join(rng.choice(list(chars), n))
+    one, other = "的一是不了人我在有他这中大来上国", "のはをがにでとしたるすいまよあれ"
+    model = language.fit([(some(one, 60), "zh") for _ in range(80)] + [(some(other, 60), "ja") for _ in range(80)])
+    texts = [(1, some(one, 10) + some(other, 200) + some(one, 10)), (2, some(other, 10) + some(one, 200) + some(other, 10)),
+             (3, some(one, 100)), (4, "x" * 100)]
+    got = {r.doc_id: r for r in language.predict(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
+    assert (got[1].lang_pred, got[2].lang_pred, got[3].lang_pred) == ("ja", "zh", "zh")
+    for _, text in [*texts, (0, "a é日本" * 30 + " b"), (0, "\U0001f600" * 40)]:  # no byte is left out, no character is cut
+        parts = language.tokens(text)
+        assert b"".join(parts) == text.replace(" ", "").encode() and max(map(len, parts)) <= language.WIDTH - 2
+        assert all(p.decode() for p in parts)
