@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataudit.llm import ctw, decontaminate, language, lines, mixing, quality, secrets, simhash, warc, weighted
+from strataudit.llm import clusters, ctw, decontaminate, language, lines, mixing, negatives, parity, quality, secrets, simhash, warc, weighted
 from strataudit.llm.common import table
 
 
@@ -64,10 +64,50 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.compare(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label="CASE WHEN id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = parity.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, num=85, den=100)
+    return found.select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op3_source_mix, op4_context_tree_scores, op5_warc_chunks,
                                   op6_benchmark_decontamination, op7_line_dedup, op8_quality_classifier, op9_language_crf,
-                                  op10_weighted_fingerprints)}
+                                  op10_weighted_fingerprints, op11_hard_negatives, op12_centroid_clusters, op13_parity_join)}
+
+_ROUNDS = "".join(f"""
+        d{r} AS (SELECT v.id, c.k, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{r} c USING (j) GROUP BY ALL),
+        a{r} AS (SELECT id, arg_min(k, d * 100 + k) AS k, min(d) AS d FROM d{r} GROUP BY id),
+        s{r} AS (SELECT k, j, sum(x) AS s, count(*) AS n FROM a{r} JOIN v USING (id) GROUP BY ALL),
+        c{r + 1} AS (SELECT c.k, c.j, CASE WHEN n IS NULL THEN c.x ELSE (s - ((s % n) + n) % n) // n END AS x FROM c{r} c LEFT JOIN s{r} USING (k, j)),"""
+                  for r in range(4))
+
 ORACLES: dict[str, str] = {
+    "op11_hard_negatives": """
+        WITH e AS (SELECT vec_id AS id, label + 0 AS own, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: isfinite(x))), true)),
+        r AS (SELECT id, CASE WHEN id % 7 = 0 THEN (own + 1) % 10 ELSE own END AS label, v FROM e),
+        s AS (SELECT a.id AS a, r.id AS b, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS s FROM r a JOIN r ON a.id % 100 = 0 AND a.id <> r.id),
+        p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS n FROM s WHERE same) q WHERE n <= 5),
+        h AS (SELECT p.a, p.b AS p, s.b AS h, p.s AS ps, s.s AS hs, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS n
+              FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.s <= 100 * s.s AND 100 * s.s <= 100 * p.s)
+        SELECT a AS anchor_id, p AS positive_id, n::INT AS rank, h AS negative_id, ps AS positive_score, hs AS negative_score FROM h WHERE n <= 5""",
+    "op12_centroid_clusters": f"""
+        WITH w AS (SELECT vec_id AS id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+                   WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+        v AS (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM w),
+        f AS (SELECT id, row_number() OVER (ORDER BY sha256('1:' || id)) - 1 AS k FROM w),
+        c0 AS (SELECT k, j, x FROM f JOIN v USING (id) WHERE k < 16),{_ROUNDS}
+        m AS (SELECT k, sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY j)) AS h FROM c3 GROUP BY k),
+        t AS (SELECT k, sum(d) AS t FROM a3 GROUP BY k)
+        SELECT id AS vec_id, k::INT AS cluster, d::BIGINT AS distance, t::BIGINT AS cluster_inertia, (SELECT sum(d) FROM a3)::BIGINT AS inertia,
+               h AS centroid_sha256 FROM a3 JOIN m USING (k) JOIN t USING (k)""",
     "op5_warc_chunks": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
         d AS (SELECT page_id, n, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
