@@ -8,7 +8,6 @@ from math import gcd
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +16,9 @@ from strataudit.llm.common import column_type, kept, pieces, utf8, written
 from strataudit.llm.graph import components
 
 SEED = 42
-SHORT = 8  # words of the sketch that travels with a member, of 64 bits each
 PIECE = 1 << 22  # bytes of text, or of sets, handled at once
 RUN = 1 << 19  # hashes that are compared with one set at once
-DRAWS = 3
+DRAWS = 2
 WORDS_KNOWN = 1 << 20  # words whose hashes a task remembers
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -47,9 +45,10 @@ def shingle_set(text: bytes, n: int, known: dict) -> np.ndarray:
     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     width = min(n, len(words))
     out = np.full(len(h) - width + 1, width, np.uint64)
-    for j in range(width):
-        out = mixed(out * _MIX + h[j:len(h) - width + 1 + j])
-    return np.unique(out)
+    for j in range(width):  # each place has an odd factor of its own
+        out += h[j:len(h) - width + 1 + j] * np.uint64(int(_MIX) * (2 * j + 3) & 0xFFFFFFFFFFFFFFFF)
+    out = np.sort(mixed(out))
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 class Bands:
@@ -80,80 +79,114 @@ class Bands:
 def sketch(members: np.ndarray, blocks: int) -> np.ndarray:
     """The parity sketch: 64 bits for each block, each bit telling whether an odd number of members fell on it. The sketches of
     two sets differ in at most as many bits as the sets differ in members."""
-    h = mixed(members + np.uint64(blocks * int(_MIX) & 0xFFFFFFFFFFFFFFFF))
-    block = (((h >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(block, kind="stable")
-    starts = np.searchsorted(block[order], np.arange(blocks))
+    # members are in order, and so are their blocks
+    starts = np.searchsorted(((members >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32), np.arange(blocks, dtype=np.uint64))
     out = np.zeros(blocks, np.uint64)
-    filled = starts < np.append(starts[1:], len(h))
-    if filled.any():
-        out[filled] = np.bitwise_xor.reduceat((np.uint64(1) << (h & np.uint64(63)))[order], starts[filled])
+    filled = starts < np.append(starts[1:], len(members))
+    if len(members):
+        out[filled] = np.bitwise_xor.reduceat(np.uint64(1) << (members & np.uint64(63)), starts[filled])
     return out
 
 
-def keys(members: np.ndarray, bands: Bands) -> np.ndarray:
-    """A key for each block of the set's sketch in each of its bands. A band has one block more than members may differ, so two
-    sets that are similar enough have a block without a difference, and its key in common."""
-    out = [np.zeros(0, np.uint64)]
+def keys(members: np.ndarray, bands: Bands) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Band, keys and a coarse sketch for each of the set's bands. A band has one block, and so one key, more than members may
+    differ: two sets that are similar enough have a block without a difference, and its key in common. The coarse sketch has
+    about four bits for each member that may differ, enough to tell most other sets that share a key apart."""
+    out = []
     for k in bands.of(len(members)):
         bits = sketch(members, bands.most[k] + 1)
         place = (np.uint64(k) << np.uint64(48)) + np.arange(len(bits), dtype=np.uint64)
-        out.append(mixed(mixed(bits) + mixed(place)))
-    return np.concatenate(out).view(np.int64)
+        out.append((k, mixed(mixed(bits) + mixed(place)).view(np.int64), sketch(members, 1 + bands.most[k] // 16).view(np.int64)))
+    return out
+
+
+KEYS = pa.struct([("band", pa.int32()), ("key", pa.int64())])
+SKETCHES = pa.struct([("band", pa.int32()), ("bits", pa.list_(pa.int64()))])
+
+
+def _lists(values: pa.Array, sizes: list[int]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), values)
 
 
-def sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """``id`` and ``at`` of each row with ``fp``, a hash of its set (null of none), and ``size``, the number of members."""
+def sets(docs: DataFrame, shingle: int, bands: Bands) -> DataFrame:
+    """``id`` and ``at`` of each row with ``fp``, a hash of its set (null of none), and ``size``, the number of members. The first row
+    of its kind in a batch also has the ``keys`` and ``sketches`` of its bands; they say the same for its copies."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
-        for batch in batches:
-            found = [shingle_set(x, shingle, known) for x in utf8(batch.column("text"))]
+        for batch in pieces(batches, "text", PIECE):
+            fps, sizes, found, seen = [], [], [], set()
+            for text in utf8(batch.column("text")):
+                members = shingle_set(text, shingle, known)
+                fps.append(name(members))
+                sizes.append(len(members))
+                found.append([] if fps[-1] in seen else keys(members, bands))
+                seen.add(fps[-1])
+            every = [x for row in found for x in row]
+            band = np.array([k for k, _, _ in every], np.int32)
+            key = np.concatenate([np.zeros(0, np.int64), *(x for _, x, _ in every)])
+            bits = np.concatenate([np.zeros(0, np.int64), *(x for _, _, x in every)])
+            of_key = pa.array(np.repeat(band, [len(x) for _, x, _ in every]) if every else band)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("at"), pa.array([name(x) for x in found], pa.int64()), pa.array(list(map(len, found)), pa.int64())],
-                names=["id", "at", "fp", "size"])
+                [batch.column("id"), batch.column("at"), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()),
+                 _lists(pa.StructArray.from_arrays([of_key, pa.array(key)], fields=list(KEYS)), [sum(len(x) for _, x, _ in row) for row in found]),
+                 _lists(pa.StructArray.from_arrays([pa.array(band), _lists(pa.array(bits), [len(x) for _, _, x in every])], fields=list(SKETCHES)),
+                        list(map(len, found)))], names=["id", "at", "fp", "size", "keys", "sketches"])
 
-    return docs.mapInArrow(run, f"id {column_type(docs, 'id')}, at bigint, fp bigint, size bigint")
+    return docs.mapInArrow(run, f"id {column_type(docs, 'id')}, at bigint, fp bigint, size bigint, keys array<struct<band: int, key: bigint>>, "
+                                "sketches array<struct<band: int, bits: array<bigint>>>")
 
 
 def name(members: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63) if len(members) else None
 
 
-def keyed(docs: DataFrame, shingle: int, bands: Bands, wanted: Broadcast | None = None) -> DataFrame:
-    """``key``, ``fp`` and ``size`` of the different sets of each batch, for all keys or those that may be ``wanted``."""
+def shared_keys(every: DataFrame) -> DataFrame:
+    """``key``, ``band``, ``fp`` and ``size`` of the sets of a key that several have. Keys of one set, nearly all, are left out before
+    anything is joined."""
+    keyed = every.select(F.explode("keys.key").alias("key"), "fp")
+    shared = kept(keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high").select("key"))
+    wanted = every.sparkSession.sparkContext.broadcast(marks.marked(shared, "key"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
-        for batch in pieces(batches, "text", PIECE):
-            found = {}
-            for text in utf8(batch.column("text")):
-                members = shingle_set(text, shingle, known)
-                if len(members) and (fp := name(members)) not in found:
-                    k = keys(members, bands)
-                    found[fp] = (len(members), k if wanted is None else k[marks.among(wanted.value, k)])
-            n = [len(k) for _, k in found.values()]
-            if sum(n):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([k for _, k in found.values()])), pa.array(np.repeat(np.array(list(found), np.int64), n)),
-                     pa.array(np.repeat(np.array([size for size, _ in found.values()], np.int64), n))], names=["key", "fp", "size"])
+        for batch in batches:
+            column = batch.column("keys")
+            band, key = (x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten())
+            some = np.flatnonzero(marks.among(wanted.value, key))
+            row = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy(zero_copy_only=False))[some]
+            yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(band[some]), *batch.select(["fp", "size"]).take(pa.array(row)).columns],
+                                             names=["key", "band", "fp", "size"])
 
-    return docs.select("text").mapInArrow(run, "key bigint, fp bigint, size bigint")
+    some = every.where("size(keys) > 0").select("fp", "size", "keys").mapInArrow(run, "key bigint, band int, fp bigint, size bigint")
+    return written(some.join(shared, "key", "left_semi").distinct(), "members")
 
 
 def members_of(docs: DataFrame, chosen: DataFrame, shingle: int) -> DataFrame:
-    """``fp``, ``set`` (the hashes in order) and ``sketch`` of the chosen rows; no other set leaves the documents."""
+    """``fp`` and ``set`` (the hashes in order) of the chosen rows; no other set leaves the documents."""
+    chosen = kept(chosen)
     wanted = docs.sparkSession.sparkContext.broadcast(marks.marked(chosen, "at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for batch in pieces(batches, "text", PIECE):
             batch = batch.filter(pa.array(marks.among(wanted.value, batch.column("at").to_numpy(zero_copy_only=False))))
-            found = [shingle_set(x, shingle, known) for x in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("at"), pa.array([x.tobytes() for x in found], pa.binary()),
-                 pa.array([sketch(x, SHORT).view(np.int64) for x in found], pa.list_(pa.int64()))], names=["at", "set", "sketch"])
+            found = [shingle_set(x, shingle, known).tobytes() for x in utf8(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("at"), pa.array(found, pa.binary())], names=["at", "set"])
+
+    found = docs.select("at", "text").mapInArrow(run, "at bigint, set binary")
+    return kept(found.join(chosen, "at").dropDuplicates(["fp"]).select("fp", "set"))
+
+
+def plausible(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs ``a``, ``b`` of a ``band`` (``x_size``, ``y_size`` members) that sizes and coarse sketches do not rule out, each once."""
+    pairs = pairs.where(F.expr(f"least(x_size, y_size) * {den}L >= greatest(x_size, y_size) * {num}L")).groupBy("a", "b").agg(
+        *[F.min(c).alias(c) for c in ("band", "x_size", "y_size")])
+    for side, bits in (("a", "p"), ("b", "q")):
+        pairs = pairs.join(sketches.select(F.col("fp").alias(side), "band", F.col("bits").alias(bits)), [side, "band"])
+    return pairs.where(apart("p", "q") + f" <= (x_size + y_size) * {den - num}L div {den + num}L").select("a", "b", F.col("y_size").alias("b_size"))
+
 
-    found = docs.select("at", "text").mapInArrow(run, "at bigint, set binary, sketch array<bigint>")
-    return written(found.join(chosen, "at").dropDuplicates(["fp"]).select("fp", "set", "sketch"), "sets")
+def apart(p: str, q: str) -> str:
+    return f"aggregate(zip_with({p}, {q}, (u, v) -> bit_count(u ^ v)), 0, (n, d) -> n + d)"
 
 
 def verified(pairs: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
@@ -162,7 +195,6 @@ def verified(pairs: DataFrame, members: DataFrame, num: int, den: int) -> DataFr
     The partners of ``a`` are cut into runs of about ``RUN`` hashes; a run travels with ``a`` once, and runs are dealt into groups
     of that size. So a set with very many partners fills many groups, none of them large.
     """
-    pairs = kept(pairs)
     load = pairs.groupBy("a").agg(F.ceil(F.sum("b_size") / RUN).alias("runs"))
     groups = max(pairs.agg(F.ceil(F.sum("b_size") / RUN).alias("n")).first()["n"] or 1, 1)
     run = F.pmod(F.xxhash64("b"), F.col("runs"))
@@ -190,7 +222,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two rows are linked if their sets of word runs have a Jaccard similarity of at least ``num / den``, compared exactly, in whole numbers. A-Z
     is lower-cased; a text with fewer words is one run. No linked pair is missed: see ``keys``. Equal sets are one node. Of the sets that
     share a key, each is first compared with one of them, drawn anew in each of ``DRAWS`` rounds; pairs already in one group are left
-    alone; what remains is compared if sizes and short sketches allow it.
+    alone, and what remains is compared in the end. Sizes and sketches rule out most pairs, the sets themselves decide.
 
     Sets are known by 64-bit hashes, as are their members. Null texts and texts without words have an empty set: ``fp`` is null, ``size`` 0, and
     they are linked with nothing. Rows without id join a group but keep a null id; rows that repeat an id each have their own
@@ -198,33 +230,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     bands = Bands(num, den)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("at"))
-    every = written(sets(rows, shingle), "fps")
-    shared = kept(keyed(rows, shingle, bands).groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-                  .where("low < high").select("key"))
-    wanted = docs.sparkSession.sparkContext.broadcast(marks.marked(shared, "key"))
-    members = written(keyed(rows, shingle, bands, wanted).join(shared, "key", "left_semi").distinct(), "members")
+    every = written(sets(rows, shingle, bands), "fps")
+    members = shared_keys(every)
     first = every.where("fp IS NOT NULL").groupBy("fp").agg(F.min("at").alias("at"))
-    content = members_of(rows, kept(first.join(members.select("fp").distinct(), "fp", "left_semi")), shingle)
-    links, groups = None, None
-    fits = F.expr(f"least(x_size, y_size) * {den}L >= greatest(x_size, y_size) * {num}L")
+    sketches = kept(every.select("fp", F.explode("sketches").alias("s")).select("fp", "s.band", "s.bits").join(
+        members.select("fp", "band").distinct(), ["fp", "band"], "left_semi").dropDuplicates(["fp", "band"]))
+    links, groups = None, members.selectExpr("fp", "fp AS group").limit(0)
     for draw in range(DRAWS + 1):
-        named = members.withColumn("group", F.col("fp")) if groups is None else members.join(groups, "fp", "left").withColumn(
-            "group", F.coalesce("group", "fp"))
-        if links is not None:
-            open_ = named.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
-            named = kept(named.join(open_, "key", "left_semi"))
+        named = members.join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+        open_ = named.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
+        named = kept(named.join(open_, "key", "left_semi"))
         if draw < DRAWS:
-            one = F.struct("fp", "group", "size")
-            drawn = named.groupBy("key").agg(F.min_by(one, F.xxhash64(F.lit(draw), "fp")).alias("x"))
-            pairs = named.join(drawn, "key").where("group != x.group").selectExpr("x.fp AS a", "fp AS b", "x.size AS x_size", "size AS y_size")
+            drawn = named.groupBy("key").agg(F.min_by(F.struct("fp", "group", "size"), F.xxhash64(F.lit(draw), "fp")).alias("x"))
+            pairs = named.join(drawn, "key").where("group != x.group").selectExpr("x.fp AS a", "fp AS b", "band", "x.size AS x_size", "size AS y_size")
         else:
-            short = named.join(content.select("fp", "sketch"), "fp")
-            x = short.selectExpr("key", "fp AS a", "group AS g", "size AS x_size", "sketch AS p")
-            y = short.selectExpr("key", "fp AS b", "group AS h", "size AS y_size", "sketch AS q")
-            apart = " + ".join(f"bit_count(p[{i}] ^ q[{i}])" for i in range(SHORT))
-            pairs = x.join(y, "key").where("a < b AND g != h").where(f"{apart} <= (x_size + y_size) * {den - num}L div {den + num}L")
-        pairs = pairs.where(fits).select("a", "b", F.col("y_size").alias("b_size")).distinct()
-        found = verified(pairs, content, num, den)
+            wide = named.join(sketches, ["fp", "band"])
+            x = wide.selectExpr("key", "band", "fp AS a", "group AS g", "size AS x_size", "bits AS p")
+            y = wide.selectExpr("key", "fp AS b", "group AS h", "size AS y_size", "bits AS q")
+            near = apart("p", "q") + f" <= (x_size + y_size) * {den - num}L div {den + num}L"
+            pairs = x.join(y, "key").where("a < b AND g != h").where(near)
+        pairs = kept(plausible(pairs, sketches, num, den))
+        wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+        found = verified(pairs, members_of(rows, first.join(wanted, "fp", "left_semi"), shingle), num, den)
         links = found if links is None else kept(links.union(found))
         groups = kept(components(links, "a", "b").select(F.col("node").alias("fp"), F.col("root").alias("group")))
     least = every.where("fp IS NOT NULL").groupBy("fp").agg(F.min("id").alias("least"))
