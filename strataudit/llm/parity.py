@@ -18,7 +18,6 @@ from strataudit.llm.graph import components
 SEED = 42
 PIECE = 1 << 22  # bytes of text, or of sets, handled at once
 RUN = 1 << 19  # hashes that are compared with one set at once
-DRAWS = 2
 WORDS_KNOWN = 1 << 20  # words whose hashes a task remembers
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -141,10 +140,10 @@ def name(members: np.ndarray) -> int | None:
 
 
 def shared_keys(every: DataFrame) -> DataFrame:
-    """``key``, ``band``, ``fp`` and ``size`` of the sets of a key that several have. Keys of one set, nearly all, are left out before
-    anything is joined."""
+    """``key``, ``band``, ``fp`` and ``low`` of each set of a key that has several, but for the smallest of the key, ``low``. Keys of one
+    set, nearly all, are left out before anything is joined."""
     keyed = every.select(F.explode("keys.key").alias("key"), "fp")
-    shared = kept(keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high").select("key"))
+    shared = kept(keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high").select("key", "low"))
     wanted = every.sparkSession.sparkContext.broadcast(marks.marked(shared, "key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,11 +152,10 @@ def shared_keys(every: DataFrame) -> DataFrame:
             band, key = (x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten())
             some = np.flatnonzero(marks.among(wanted.value, key))
             row = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy(zero_copy_only=False))[some]
-            yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(band[some]), *batch.select(["fp", "size"]).take(pa.array(row)).columns],
-                                             names=["key", "band", "fp", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(band[some]), batch.column("fp").take(pa.array(row))], names=["key", "band", "fp"])
 
-    some = every.where("size(keys) > 0").select("fp", "size", "keys").mapInArrow(run, "key bigint, band int, fp bigint, size bigint")
-    return written(some.join(shared, "key", "left_semi").distinct(), "members")
+    some = every.where("size(keys) > 0").select("fp", "keys").mapInArrow(run, "key bigint, band int, fp bigint")
+    return written(some.join(shared, "key").where("fp > low").select("key", "band", "fp", "low").distinct(), "members")
 
 
 def members_of(docs: DataFrame, chosen: DataFrame, shingle: int) -> DataFrame:
@@ -177,16 +175,17 @@ def members_of(docs: DataFrame, chosen: DataFrame, shingle: int) -> DataFrame:
 
 
 def plausible(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs ``a``, ``b`` of a ``band`` (``x_size``, ``y_size`` members) that sizes and coarse sketches do not rule out, each once."""
-    pairs = pairs.where(F.expr(f"least(x_size, y_size) * {den}L >= greatest(x_size, y_size) * {num}L")).groupBy("a", "b").agg(
-        *[F.min(c).alias(c) for c in ("band", "x_size", "y_size")])
-    for side, bits in (("a", "p"), ("b", "q")):
-        pairs = pairs.join(sketches.select(F.col("fp").alias(side), "band", F.col("bits").alias(bits)), [side, "band"])
-    return pairs.where(apart("p", "q") + f" <= (x_size + y_size) * {den - num}L div {den + num}L").select("a", "b", F.col("y_size").alias("b_size"))
+    """The pairs ``a``, ``b`` of a ``band`` that sizes and coarse sketches do not rule out, each once, with the size of ``b``."""
+    pairs = pairs.groupBy("a", "b").agg(F.min("band").alias("band"))
+    for side, n, bits in (("a", "m", "p"), ("b", "n", "q")):
+        pairs = pairs.join(sketches.select(F.col("fp").alias(side), "band", F.col("size").alias(n), F.col("bits").alias(bits)), [side, "band"])
+    return pairs.where(near(num, den)).select("a", "b", F.col("n").alias("b_size"))
 
 
-def apart(p: str, q: str) -> str:
-    return f"aggregate(zip_with({p}, {q}, (u, v) -> bit_count(u ^ v)), 0, (n, d) -> n + d)"
+def near(num: int, den: int) -> str:
+    """Sets of ``m`` and ``n`` members with sketches ``p`` and ``q`` may be similar enough."""
+    apart = "aggregate(zip_with(p, q, (u, v) -> bit_count(u ^ v)), 0, (s, d) -> s + d)"
+    return f"least(m, n) * {den}L >= greatest(m, n) * {num}L AND {apart} <= (m + n) * {den - num}L div {den + num}L"
 
 
 def verified(pairs: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
@@ -221,8 +220,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two rows are linked if their sets of word runs have a Jaccard similarity of at least ``num / den``, compared exactly, in whole numbers. A-Z
     is lower-cased; a text with fewer words is one run. No linked pair is missed: see ``keys``. Equal sets are one node. Of the sets that
-    share a key, each is first compared with one of them, drawn anew in each of ``DRAWS`` rounds; pairs already in one group are left
-    alone, and what remains is compared in the end. Sizes and sketches rule out most pairs, the sets themselves decide.
+    share a key, each is first compared with the smallest of them; of the others, only those in different groups are compared with
+    each other. Sizes and sketches rule out most pairs, the sets themselves decide.
 
     Sets are known by 64-bit hashes, as are their members. Null texts and texts without words have an empty set: ``fp`` is null, ``size`` 0, and
     they are linked with nothing. Rows without id join a group but keep a null id; rows that repeat an id each have their own
@@ -233,27 +232,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every = written(sets(rows, shingle, bands), "fps")
     members = shared_keys(every)
     first = every.where("fp IS NOT NULL").groupBy("fp").agg(F.min("at").alias("at"))
-    sketches = kept(every.select("fp", F.explode("sketches").alias("s")).select("fp", "s.band", "s.bits").join(
-        members.select("fp", "band").distinct(), ["fp", "band"], "left_semi").dropDuplicates(["fp", "band"]))
-    links, groups = None, members.selectExpr("fp", "fp AS group").limit(0)
-    for draw in range(DRAWS + 1):
-        named = members.join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
-        open_ = named.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
-        named = kept(named.join(open_, "key", "left_semi"))
-        if draw < DRAWS:
-            drawn = named.groupBy("key").agg(F.min_by(F.struct("fp", "group", "size"), F.xxhash64(F.lit(draw), "fp")).alias("x"))
-            pairs = named.join(drawn, "key").where("group != x.group").selectExpr("x.fp AS a", "fp AS b", "band", "x.size AS x_size", "size AS y_size")
-        else:
-            wide = named.join(sketches, ["fp", "band"])
-            x = wide.selectExpr("key", "band", "fp AS a", "group AS g", "size AS x_size", "bits AS p")
-            y = wide.selectExpr("key", "fp AS b", "group AS h", "size AS y_size", "bits AS q")
-            near = apart("p", "q") + f" <= (x_size + y_size) * {den - num}L div {den + num}L"
-            pairs = x.join(y, "key").where("a < b AND g != h").where(near)
+    in_band = members.select("fp", "band").union(members.select("low", "band")).distinct()
+    sketches = kept(every.select("fp", "size", F.explode("sketches").alias("s")).select("fp", "s.band", "size", "s.bits").join(
+        in_band, ["fp", "band"], "left_semi").dropDuplicates(["fp", "band"]))
+
+    def compared(pairs: DataFrame) -> DataFrame:
         pairs = kept(plausible(pairs, sketches, num, den))
         wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-        found = verified(pairs, members_of(rows, first.join(wanted, "fp", "left_semi"), shingle), num, den)
-        links = found if links is None else kept(links.union(found))
-        groups = kept(components(links, "a", "b").select(F.col("node").alias("fp"), F.col("root").alias("group")))
+        return verified(pairs, members_of(rows, first.join(wanted, "fp", "left_semi"), shingle), num, den)
+
+    # the smallest set of each key with the others, then these with those of other groups
+    links = compared(members.selectExpr("low AS a", "fp AS b", "band"))
+    groups = kept(components(links, "a", "b").select(F.col("node").alias("fp"), F.col("root").alias("group")))
+    named = members.select("key", "band", "fp").join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+    several = named.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most").select("key")
+    open_ = kept(named.join(several, "key", "left_semi"))
+    full = open_.join(sketches, ["fp", "band"])
+    x = full.selectExpr("key", "band", "fp AS a", "group AS g", "size AS m", "bits AS p")
+    y = full.selectExpr("key", "fp AS b", "group AS h", "size AS n", "bits AS q")
+    more = compared(x.join(y, "key").where("a < b AND g != h").where(near(num, den)).select("a", "b", "band"))
+    links = kept(links.union(more))
+    groups = components(links, "a", "b").select(F.col("node").alias("fp"), F.col("root").alias("group"))
     least = every.where("fp IS NOT NULL").groupBy("fp").agg(F.min("id").alias("least"))
     named = kept(least.join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp")))
     smallest = kept(named.groupBy("group").agg(F.min("least").alias("component_id")))
