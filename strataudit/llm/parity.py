@@ -17,6 +17,7 @@ from strataudit.llm.graph import components
 
 SEED = 42
 PIECE = 1 << 22  # bytes of text, or of sets, handled at once
+STARS = 2
 RUN = 1 << 19  # hashes that are compared with one set at once
 WORDS_KNOWN = 1 << 20  # words whose hashes a task remembers
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -220,8 +221,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two rows are linked if their sets of word runs have a Jaccard similarity of at least ``num / den``, compared exactly, in whole numbers. A-Z
     is lower-cased; a text with fewer words is one run. No linked pair is missed: see ``keys``. Equal sets are one node. Of the sets that
-    share a key, each is first compared with the smallest of them; of the others, only those in different groups are compared with
-    each other. Sizes and sketches rule out most pairs, the sets themselves decide.
+    share a key, each is first compared with the smallest of them, which is then done with; so are the next ``STARS``. Of the others,
+    those in different groups are compared with each other. Sizes and sketches rule out most pairs, the sets themselves decide.
 
     Sets are known by 64-bit hashes, as are their members. Null texts and texts without words have an empty set: ``fp`` is null, ``size`` 0, and
     they are linked with nothing. Rows without id join a group but keep a null id; rows that repeat an id each have their own
@@ -241,21 +242,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
         return verified(pairs, members_of(rows, first.join(wanted, "fp", "left_semi"), shingle), num, den)
 
-    # the smallest set of each key with the others, then these with those of other groups
-    links = compared(members.selectExpr("low AS a", "fp AS b", "band"))
-    groups = kept(components(links, "a", "b").select(F.col("node").alias("fp"), F.col("root").alias("group")))
-    named = members.select("key", "band", "fp").join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
-    several = named.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most").select("key")
-    open_ = kept(named.join(several, "key", "left_semi"))
-    full = open_.join(sketches, ["fp", "band"])
+    def grouped(links: DataFrame) -> DataFrame:
+        return kept(components(links, "a", "b").select(F.col("node").alias("fp"), F.col("root").alias("group")))
+
+    def named(rest: DataFrame, groups: DataFrame) -> DataFrame:
+        return rest.select("key", "band", "fp").join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+
+    least, most = F.min("group").alias("least"), F.max("group").alias("most")
+    links, rest = compared(members.selectExpr("low AS a", "fp AS b", "band")), members
+    groups = grouped(links)
+    for _ in range(STARS):
+        open_ = named(rest, groups)
+        stars = open_.groupBy("key").agg(F.min(F.struct("fp", "group")).alias("star"), least, most).where("least < most").select("key", "star")
+        rest = kept(open_.join(stars, "key").where("fp > star.fp").select("key", "band", "fp", "group", "star"))
+        links = kept(links.union(compared(rest.where("group != star.group").selectExpr("star.fp AS a", "fp AS b", "band"))))
+        groups = grouped(links)
+    open_ = named(rest, groups)
+    several = open_.groupBy("key").agg(least, most).where("least < most").select("key")
+    full = open_.join(several, "key", "left_semi").join(sketches, ["fp", "band"])
     x = full.selectExpr("key", "band", "fp AS a", "group AS g", "size AS m", "bits AS p")
     y = full.selectExpr("key", "fp AS b", "group AS h", "size AS n", "bits AS q")
-    more = compared(x.join(y, "key").where("a < b AND g != h").where(near(num, den)).select("a", "b", "band"))
-    links = kept(links.union(more))
-    groups = components(links, "a", "b").select(F.col("node").alias("fp"), F.col("root").alias("group"))
-    least = every.where("fp IS NOT NULL").groupBy("fp").agg(F.min("id").alias("least"))
-    named = kept(least.join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp")))
-    smallest = kept(named.groupBy("group").agg(F.min("least").alias("component_id")))
-    of = kept(named.join(smallest, "group").select("fp", "component_id"))
+    pairs = x.join(y, "key").where("a < b AND g != h").where(near(num, den)).select("a", "b", "band")
+    groups = grouped(links.union(compared(pairs)))
+    first_id = every.where("fp IS NOT NULL").groupBy("fp").agg(F.min("id").alias("least"))
+    node = kept(first_id.join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp")))
+    smallest = kept(node.groupBy("group").agg(F.min("least").alias("component_id")))
+    of = kept(node.join(smallest, "group").select("fp", "component_id"))
     return every.join(of, "fp", "left").select(F.col("id").alias(id_col), "fp", "size", F.when(F.col("fp").isNull(), F.col("id")).otherwise(
         F.col("component_id")).alias("component_id"))
