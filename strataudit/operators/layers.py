@@ -6,8 +6,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strataudit.config import EXCLUDED_STATUSES, INGEST_SEQ, Exclusion
+from strataudit.config import EXCLUDED_STATUSES, INGEST_SEQ, Exclusion, Transform
 from strataudit.functions import exprs, lit, name, normalise_code, strip, to_double, to_long, to_strict_timestamp
 from strataudit.sources.local import local_frame
 
@@ -39,37 +41,38 @@ RISK_BAND = """CASE WHEN credit_score IS NULL THEN 'UNKNOWN' WHEN credit_score >
 IS_DELINQUENT = "status IN ('DELINQUENT_30', 'DELINQUENT_90', 'DEFAULT')"
 
 
+def _cleaned(column: str, dtype: T.DataType, rule: str | None) -> str:
+    c = name(column)
+    text = f"cast({c} AS string)"
+    match rule:
+        case "strip":
+            return strip(text)
+        case "strip_lower":
+            return f"lower({strip(text)})"
+        case "code":
+            return normalise_code(text)
+        case "number" if not isinstance(dtype, T.DoubleType):
+            return to_double(c, dtype)
+        case "whole" if not isinstance(dtype, T.LongType):
+            return to_long(c, dtype)
+        case "timestamp" if not isinstance(dtype, T.TimestampNTZType):
+            return to_strict_timestamp(c)
+        case _:
+            return c
+
+
 def clean(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
-    """Apply one rule per column in a single projection."""
-
-    def apply(field) -> str:
-        c = name(field.name)
-        text = f"cast({c} AS string)"
-        match rules.get(field.name):
-            case "strip":
-                return strip(text)
-            case "strip_lower":
-                return f"lower({strip(text)})"
-            case "code":
-                return normalise_code(text)
-            case "number":
-                return to_double(c, field.dataType)
-            case "whole":
-                return to_long(c, field.dataType)
-            case "timestamp":
-                return to_strict_timestamp(c)
-            case _:
-                return c
-
-    return df.selectExpr(*[f"{apply(f)} AS {name(f.name)}" for f in df.schema.fields if f.name != ARRIVAL],
-                         *([name(ARRIVAL)] if ARRIVAL in df.columns else []))
-
-
-def with_arrival(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The landed rows with their order of arrival, where landing recorded none: cleaning must not change it."""
+    """Apply one rule per column in a single projection; a column that is of the rule's type already stays as it is."""
+    return df.selectExpr(*[f"{_cleaned(f.name, f.dataType, rules.get(f.name))} AS {name(f.name)}" for f in df.schema.fields])
+
+
+def with_arrival(raw: DataFrame, keys: Sequence[str], rules: Mapping[str, str]) -> DataFrame:
+    """The landed rows with what their order of arrival needs after cleaning, where landing recorded none: the arrived values of
+    the columns that cleaning changes."""
     if INGEST_SEQ in raw.columns:
         return raw
-    return raw.selectExpr("*", f"{arrival_order(raw.columns, keys)} AS {ARRIVAL}")
+    changed = [f.name for f in raw.schema.fields if f.name not in keys and _cleaned(f.name, f.dataType, rules.get(f.name)) != name(f.name)]
+    return raw.selectExpr("*", *[f"{name(c)} AS {name(ARRIVED + c)}" for c in changed])
 
 
 def _value_list(rule: Exclusion) -> str:
@@ -88,17 +91,17 @@ def keep_unexcluded(df: DataFrame, rule: Exclusion) -> DataFrame:
     return df.filter(f"{c} IS NULL OR NOT {c} IN ({_value_list(rule)})")
 
 
-ARRIVAL = "_arrival"
+ARRIVED = "_arrived_"
 
 
 def arrival_order(columns: list[str], keys: Sequence[str]) -> str:
     """What decides which row of a key came first, for every side of a comparison: the sequence recorded at landing, or
-    else all columns of the landed table in order, so that the result never depends on partitioning."""
+    else all columns of the landed table in order, as they arrived, so that the result never depends on partitioning."""
     if INGEST_SEQ in columns:
         return name(INGEST_SEQ)
-    if ARRIVAL in columns:
-        return name(ARRIVAL)
-    return f"struct({', '.join(map(name, [c for c in columns if c not in keys] or keys))})"
+    own = [c for c in columns if not c.startswith(ARRIVED)]
+    order = [ARRIVED + c if ARRIVED + c in columns else c for c in own if c not in keys]
+    return f"struct({', '.join(map(name, order or keys))})"
 
 
 def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -109,16 +112,23 @@ def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """
     over = f"PARTITION BY {', '.join(map(name, keys))} ORDER BY {arrival_order(df.columns, keys)}"
     ranked = df.selectExpr("*", f"row_number() OVER ({over}) AS _rank").filter("_rank = 1")
-    return ranked.selectExpr(*[name(c) for c in df.columns if c != ARRIVAL])
+    return ranked.selectExpr(*[name(c) for c in df.columns if not c.startswith(ARRIVED)])
+
+
+def clean_table(raw: DataFrame, rules: Mapping[str, str], keys: Sequence[str], exclusion: Exclusion | None = None) -> DataFrame:
+    """A landed table cleaned column by column, without the excluded rows, one row per key: the first to arrive."""
+    cleaned = clean(with_arrival(raw, keys, rules), rules)
+    if exclusion:
+        cleaned = keep_unexcluded(cleaned, exclusion)
+    return first_per_key(cleaned, list(keys)).drop(INGEST_SEQ)
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
-    return first_per_key(clean(with_arrival(raw, ["customer_id"]), CUSTOMER_RULES), ["customer_id"]).drop(INGEST_SEQ)
+    return clean_table(raw, CUSTOMER_RULES, ["customer_id"])
 
 
 def clean_loans(raw: DataFrame, exclusion: Exclusion = Exclusion("status", EXCLUDED_STATUSES)) -> DataFrame:
-    kept = keep_unexcluded(clean(with_arrival(raw, ["loan_id"]), LOAN_RULES), exclusion)
-    return first_per_key(kept, ["loan_id"]).drop(INGEST_SEQ)
+    return clean_table(raw, LOAN_RULES, ["loan_id"], exclusion)
 
 
 def loan_portfolio(loans: DataFrame, customers: DataFrame) -> DataFrame:
@@ -137,12 +147,18 @@ def loan_portfolio(loans: DataFrame, customers: DataFrame) -> DataFrame:
     return joined.selectExpr(*[f"{e} AS {c}" for c, e in wanted.items() if c in present])
 
 
-def build_layers(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Staging and final tables over ``raw.customers`` and ``raw.loans``, as lazy frames by ``layer.table``."""
-    customers, loans = clean_customers(raw["raw.customers"]), clean_loans(raw["raw.loans"])
-    portfolio = loan_portfolio(loans, customers)
-    return {**raw, "staging.customers": customers, "staging.loans": loans, "final.loan_portfolio": portfolio,
-            "final.portfolio_summary": portfolio_summary(portfolio)}
+def build_layers(raw: Mapping[str, DataFrame], transforms: Sequence[Transform] | None = None) -> dict[str, DataFrame]:
+    """The tables of ``raw`` and all that the transforms make of them, as lazy frames by ``layer.table``; by default the lending
+    tables. A transform may stand anywhere in the list, but not depend on itself."""
+    todo = list(loan_transforms(Exclusion("status", EXCLUDED_STATUSES)) if transforms is None else transforms)
+    made = dict(raw)
+    while todo:
+        ready = [t for t in todo if all(r in made for r in t.reads)]
+        if not ready:
+            raise ValueError(f"no tables to make {', '.join(t.table for t in todo)} from")
+        made |= {t.table: t.build(made) for t in ready}
+        todo = [t for t in todo if t not in ready]
+    return made
 
 
 def portfolio_summary(portfolio: DataFrame) -> DataFrame:
@@ -155,6 +171,22 @@ def portfolio_summary(portfolio: DataFrame) -> DataFrame:
         "round(avg(cast(risk_band = 'SUBPRIME' AS int)), 4) AS subprime_share"))
 
 
+def ordered_summary(summary: DataFrame) -> DataFrame:
+    """A summary as it is shown: the largest balance first, ties by name."""
+    return summary.orderBy(F.desc("total_balance"), "loan_type")
+
+
+def loan_transforms(exclusion: Exclusion) -> tuple[Transform, ...]:
+    """How the lending tables are made."""
+    return (
+        Transform("staging.customers", ("raw.customers",), lambda t: clean_customers(t["raw.customers"])),
+        Transform("staging.loans", ("raw.loans",), lambda t: clean_loans(t["raw.loans"], exclusion)),
+        Transform("final.loan_portfolio", ("staging.loans", "staging.customers"),
+                  lambda t: loan_portfolio(t["staging.loans"], t["staging.customers"])),
+        Transform("final.portfolio_summary", ("final.loan_portfolio",), lambda t: portfolio_summary(t["final.loan_portfolio"])),
+    )
+
+
 def balance_by_source(layers: Mapping[str, DataFrame], tables: Mapping[str, str]) -> DataFrame:
     """Rows and readable balance per layer and source; text that is not a number counts as 0."""
     parts = []

@@ -12,8 +12,9 @@ from strataudit.functions import exprs, lit, name
 
 
 def hashed_share(key: str, percent: int, seed: int = 42) -> str:
-    """A condition true for about ``percent`` % of the keys."""
-    return f"pmod(xxhash64({name(key)}, {seed}), 100) < {percent}"
+    """A condition true for about ``percent`` % of the keys, by the first 13 digits of an md5: any engine can repeat it."""
+    digits = f"left(md5(cast(concat({lit(f'{seed}:')}, cast({name(key)} AS string)) AS binary)), 13)"
+    return f"cast(conv({digits}, 16, 10) AS bigint) % 100 < {percent}"
 
 
 def _replaced(df: DataFrame, column: str, e: str) -> DataFrame:

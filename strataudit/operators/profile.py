@@ -152,15 +152,58 @@ def _estimate_table(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame
     return df.agg(*exprs(*aggregates)).selectExpr(f"{lit(table)} AS table", f"inline(array({', '.join(rows)}))")
 
 
+def _scanned_table(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What a scan without a shuffle tells: everything but distinct counts and surplus keys."""
+    aggregates, rows = ["count(*) AS row_count"], []
+    for i, f in _fields(df):
+        c = name(f.name)
+        low = high = total = "cast(null AS double)"
+        low_text = high_text = "cast(null AS string)"
+        aggregates.append(f"count({c}) AS filled_{i}")
+        if is_numeric(f.dataType) or is_temporal(f.dataType):
+            aggregates += [f"min({c}) AS low_{i}", f"max({c}) AS high_{i}"]
+        if is_numeric(f.dataType):
+            aggregates.append(f"sum(cast({c} AS double)) AS total_{i}")
+            low, high, total = (f"CASE WHEN NOT isnan({p}_{i}) THEN cast({p}_{i} AS double) END" for p in ("low", "high", "total"))
+        elif is_temporal(f.dataType):
+            low_text, high_text = f"cast(low_{i} AS string)", f"cast(high_{i} AS string)"
+        nulls = f"row_count - filled_{i}"
+        rows.append(f"struct({i} AS column_idx, {lit(f.name)} AS column, {lit(type_label(f.dataType))} AS dtype, "
+                    f"row_count, {nulls} AS null_count, {percent_of(nulls, 'row_count', 2)} AS null_pct, "
+                    f"cast(null AS bigint) AS distinct_count, {low} AS min_value, {high} AS max_value, "
+                    f"round({total}, 2) AS sum_value, {low_text} AS min_text, {high_text} AS max_text)")
+    return df.agg(*exprs(*aggregates)).selectExpr(f"{lit(table)} AS table", f"inline(array({', '.join(rows)}))")
+
+
+def _surplus_of(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Surplus keys of a table, from its key columns alone, counted before they are shuffled."""
+    present = f"count({name(keys[0])})" if len(keys) == 1 else "count(*)"
+    return df.groupBy(*map(name, keys)).count().agg(*exprs(f"coalesce(sum(count), 0L) - {present} AS duplicate_keys")).selectExpr(
+        f"{lit(table)} AS table", "duplicate_keys")
+
+
+def scan_tables(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
+    """Profiles without distinct counts: one scan of each table without a shuffle, and its key columns for the surplus keys."""
+    scanned = reduce(DataFrame.unionByName, [_scanned_table(*t) for t in tables])
+    keyed = [_surplus_of(*t) for t in tables if t[2]]
+    if not keyed:
+        return scanned.selectExpr("*", "0L AS duplicate_keys")
+    return scanned.join(reduce(DataFrame.unionByName, keyed), "table", "left").selectExpr(
+        *scanned.columns, "coalesce(duplicate_keys, 0L) AS duplicate_keys")
+
+
 def profile_layers(layers: Mapping[str, DataFrame], cfg: AuditConfig, run_id: str = "adhoc",
                    distinct: str = "exact") -> DataFrame:
     """Profiles of every contract table, at (run, table, column) grain.
 
-    ``distinct="approx"`` estimates the distinct counts of the columns; surplus keys are always exact.
+    ``distinct="approx"`` estimates the distinct counts of the columns, ``"none"`` leaves them out (NULL), which spares all shuffles
+    but those of the keys; surplus keys are always exact.
     """
     has = {c.name: set(layers[c.name].columns) for c in cfg.contracts}
     tables = [(c.name, layers[c.name], c.keys if has[c.name].issuperset(c.keys) else ()) for c in cfg.contracts]
-    if distinct == "approx":
+    if distinct == "none":
+        profiled = scan_tables(tables)
+    elif distinct == "approx":
         profiled = reduce(DataFrame.unionByName, [_estimate_table(*t) for t in tables])
     else:
         profiled = profile_tables(tables)

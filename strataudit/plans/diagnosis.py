@@ -228,10 +228,11 @@ def _keyed(cfg: AuditConfig, rule: MeasureRule) -> bool:
     return cfg.contract(rule.tables[0]).keys == (rule.key,)
 
 
-def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct: str = "exact") -> Diagnosis:
+def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct: str = "none") -> Diagnosis:
     """Profile the layers, run the checks, and explain what they flag.
 
-    Two jobs read the data of a healthy run: the profiles and the facts. Evidence is queried only for flagged
+    Two jobs read the data of a healthy run: the profiles and the facts. No check needs distinct counts, so profiles are made without
+    them unless ``distinct`` says ``exact`` or ``approx``. Evidence is queried only for flagged
     columns and rules. What comes back to the driver is bounded by the contracts: a row per column, a row per
     rule, and the findings. Rules that need a column which a table has lost are not run; ``not_run`` names them.
     """
@@ -271,12 +272,35 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
     return Diagnosis(run_id, profiles, findings, segments, lost, not_run, kept)
 
 
-def quality_gate(diagnoses: DataFrame) -> str:
-    """``HEALTHY``, or an error that lists every failed run with its root cause, in order of run."""
+SHOWN_FAILURES = 20
+
+
+def gate_frame(diagnoses: DataFrame, shown: int = SHOWN_FAILURES) -> DataFrame:
+    """One row: how many runs failed, and lines about the first ``shown`` of them in order of run. However long the history, a task
+    passes on a count and ``shown`` lines."""
     place = "concat_ws('.', root_cause.table, root_cause.column)"
     failed = diagnoses.filter("status <> 'HEALTHY'").selectExpr(
         "run_id", f"concat_ws(' ', run_id, root_cause.category, root_cause.transition, {place}, root_cause.message) AS line")
-    lines = [r.line for r in failed.orderBy("run_id").collect()]  # a row per failed run
-    if lines:
-        raise DataQualityError("\n".join([f"{len(lines)} of the diagnosed runs failed:", *lines]))
+    return diagnoses.sparkSession.sql(f"""
+        SELECT (SELECT count(*) FROM {{failed}}) AS failures,
+          (SELECT transform(array_sort(collect_list(struct(run_id, line))), f -> f.line)
+           FROM (SELECT run_id, line FROM {{failed}} ORDER BY run_id LIMIT {shown}) first) AS first_failures""", failed=failed)
+
+
+def _gate_text(shown: int) -> str:
+    more = f"CASE WHEN failures > {shown} THEN array(concat('and ', failures - {shown}, ' more')) ELSE array() END"
+    return f"array_join(concat(array(concat(failures, ' of the diagnosed runs failed:')), first_failures, {more}), chr(10))"
+
+
+def gate(diagnoses: DataFrame, shown: int = SHOWN_FAILURES) -> DataFrame:
+    """One row with ``status`` HEALTHY, in a plan that fails where a run did: put it in front of what only sound data may reach."""
+    return gate_frame(diagnoses, shown).selectExpr(
+        f"CASE WHEN failures = 0 THEN 'HEALTHY' ELSE raise_error({_gate_text(shown)}) END AS status")
+
+
+def quality_gate(diagnoses: DataFrame, shown: int = SHOWN_FAILURES) -> str:
+    """``HEALTHY``, or an error with the number of failed runs and the root causes of the first of them: one row for the driver."""
+    found = gate_frame(diagnoses, shown).selectExpr("failures", f"{_gate_text(shown)} AS text").first()
+    if found.failures:
+        raise DataQualityError(found.text)
     return "HEALTHY"

@@ -45,6 +45,12 @@ def latest_run(runs: DataFrame) -> DataFrame:
     return runs.orderBy(F.desc("started_at"), F.desc("run_id")).limit(1)
 
 
+def latest_flags(runs: DataFrame) -> DataFrame:
+    """Every run with ``is_latest``; the latest is found once, by an aggregate with a row for each task."""
+    newest = "max(struct(started_at, run_id)).run_id AS newest"
+    return runs.sparkSession.sql(f"SELECT r.*, r.run_id = (SELECT {newest} FROM {{runs}}) AS is_latest FROM {{runs}} r", runs=runs)
+
+
 def is_latest(runs: DataFrame, run_id: str) -> bool:
     row = latest_run(runs).select("run_id").first()
     return row is not None and row.run_id == run_id

@@ -1,12 +1,18 @@
 """Stage by stage runs, ownership of layers, history tables and what is read back from them."""
 
+from dataclasses import replace
+
 import pytest
+from strataudit.config import Transform
+from strataudit.operators import layers as L
+from strataudit.operators import profile as P
 from strataudit.plans import diagnosis as G
 from strataudit.plans import history as H
 from strataudit.plans import reports as N
 from strataudit.plans.runs import ForeignLayer, NoSuchRun, Runs, truth_frame
 from strataudit.operators import mutations as M
-from strataudit.sources.history import History
+from strataudit.plans.lineage import closure
+from strataudit.sources.history import BUCKET, BUCKETS, History, bucket_of
 from strataudit.sources.layers import LayerStore
 from workload import domain as D
 
@@ -64,8 +70,7 @@ def test_all_stages(spark, runs, sources):
     assert history.of_run("incident_reports", run).first().source == "template"
     assert runs.store.preview("final.portfolio_summary").count() == 5 == runs.store.row_count("final.portfolio_summary")
     assert runs.store.read_or_empty("final.nothing", "a int").count() == 0
-    text = spark.read.option("wholetext", "true").text(history.path("markdown")).filter("run = 'r1'").first().value
-    assert text.startswith("# Layer incident report - run r1")
+    assert history.notes(notes).first().markdown == notes.first().markdown.rstrip("\n")
 
     flow = H.layer_flow(history.of_run("layer_profiles", run), history.of_run("findings", run), D.LOAN_TABLES)
     marks = {r.layer: (r.rows, r.delta, r.mark) for r in flow.collect()}
@@ -139,3 +144,80 @@ def test_latest_and_audit(spark):
     assert audit["b"] == ["unfinished", "no_report", "fault_not_gated"]
     wrong = H.audit_runs(runs.filter("run_id = 'a'"), diagnoses, reports, gates, "'null_spike'").first().problems
     assert "other_scenario" in wrong and "fault_not_diagnosed" in wrong
+
+
+def test_one_bucket_is_listed(spark, tmp_path):
+    history = History(spark, str(tmp_path))
+    for i in range(12):
+        history.append("run_events", [(f"r{i}", "started", "none", i, None, None, None, Runs._clock())])
+    of = history.of_run("run_events", "r7")
+    assert {f.split("bucket=")[1].split("/")[0] for f in of.inputFiles()} == {str(bucket_of("r7"))}
+    assert [r.seed for r in of.collect()] == [7] and history.of_run("run_events", "nobody").count() == 0
+    assert history.read("run_events").selectExpr(f"max(abs({BUCKET} - {bucket_of('r3')} * cast(run_id = 'r3' AS int)) * cast(run_id = 'r3' AS int)) AS d").first().d == 0
+
+
+def test_many_events_are_few_files_once_compacted(spark, tmp_path):
+    """Ten thousand events as they are after as many appends: a file of its own for each bucket and append."""
+    history = History(spark, str(tmp_path))
+    events = spark.range(10_000).selectExpr(
+        "concat('r', id % 700) AS run_id", "'stage' AS event", "'none' AS scenario", "id AS seed", "'raw' AS layer",
+        "map('loans', id) AS row_counts", "cast(null AS string) AS truth", "timestamp_ntz'2026-01-01' AS at", )
+    events.selectExpr("*", f"{BUCKET} AS bucket").repartition(40).write.partitionBy("bucket").parquet(history.path("run_events"))
+    before = {tuple(r[:4]) for r in history.read("run_events").collect()}
+    assert len(history.read("run_events").inputFiles()) > 1000
+    history.compact("run_events")
+    assert len(history.read("run_events").inputFiles()) <= BUCKETS
+    assert {tuple(r[:4]) for r in history.read("run_events").collect()} == before
+    history.append("run_events", [("r1", "finished", None, None, None, None, None, Runs._clock())])
+    assert history.of_run("run_events", "r1").filter("event = 'finished'").count() == 1
+
+
+def test_notes_of_like_ids_stay_apart(spark, tmp_path):
+    history = History(spark, str(tmp_path))
+    ids = ["a/b", "a_b", "a b", "", "日本", "a" * 150]
+    notes = spark.createDataFrame([(i, f"## Summary\nof {i}\n\nend") for i in ids], "run_id string, markdown string")
+    history.write_markdown(notes)
+    history.write_markdown(notes.filter("run_id = 'a/b'").selectExpr("run_id", "'again' AS markdown"))
+    found = {r.run_id: r.markdown for r in history.notes(notes).collect()}
+    assert found == {i: f"## Summary\nof {i}\n\nend" for i in ids} | {"a/b": "again"}
+
+
+def test_closure_of_any_depth_and_cycles(spark):
+    chain = [(f"t{i}", f"t{i + 1}", "*") for i in range(12)] + [("t0", "t2", "c")]
+    found = {(r.src_table, r.dst_table): r.depth for r in closure(spark.createDataFrame(chain, "src_table string, dst_table string, column string")).collect()}
+    assert len(found) == 13 * 12 // 2 and found["t0", "t12"] == 11 and found["t0", "t2"] == 1
+    for cycle in ([("a", "a")], [("a", "b"), ("b", "c"), ("c", "a")]):
+        with pytest.raises(Exception, match="lineage cycle"):
+            closure(spark.createDataFrame([*cycle, ("x", "a")], "src_table string, dst_table string")).collect()
+
+
+def test_transforms_in_any_order_and_cycles():
+    cfg = D.supply_config()
+    assert [t.table for t in cfg.of_layer("final")] == ["final.supplies", "final.nation_revenue"]
+    assert cfg.feeding_layers("final") == ["staging"] and cfg.feeding_layers("raw") == []
+    loop = replace(cfg, transforms=(Transform("final.a", ("final.b",), dict), Transform("final.b", ("final.a",), dict)))
+    with pytest.raises(ValueError, match="from each other"):
+        loop.of_layer("final")
+    with pytest.raises(ValueError, match="no tables to make"):
+        L.build_layers({}, loop.transforms)
+
+
+def test_gate_names_the_first_failures_only(spark):
+    rows = [(f"r{i:03}", "FAILED" if i % 2 else "HEALTHY") for i in range(200)]
+    diagnosed = spark.createDataFrame(rows, "run_id string, status string").selectExpr(
+        "*", "named_struct('category', 'ROW_LOSS', 'transition', 'x', 'table', 't', 'column', cast(null AS string), 'message', 'm') AS root_cause")
+    with pytest.raises(G.DataQualityError) as e:
+        G.quality_gate(diagnosed, 2)
+    assert str(e.value) == "100 of the diagnosed runs failed:\nr001 ROW_LOSS x t m\nr003 ROW_LOSS x t m\nand 98 more"
+    with pytest.raises(Exception, match="100 of the diagnosed runs failed"):
+        G.gate(diagnosed).collect()
+    assert G.gate(diagnosed.filter("status = 'HEALTHY'")).first().status == "HEALTHY" == G.quality_gate(diagnosed.limit(0))
+
+
+def test_profiles_of_two_tiers_agree(spark, sf_small):
+    layers = D.layers(spark, sf_small)
+    exact, scanned = (P.profile_layers(layers, CFG, "r", d) for d in ("exact", "none"))
+    assert sorted(map(str, scanned.drop("distinct_count").collect())) == sorted(map(str, exact.drop("distinct_count").select(scanned.drop("distinct_count").columns).collect()))
+    lines = D.table(spark, sf_small, "lineitem")
+    plan = P.scan_tables([("l", lines, ())])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange SinglePartition") == 1 and "hashpartitioning" not in plan

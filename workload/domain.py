@@ -7,7 +7,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataudit.config import AuditConfig, loan_config
+from strataudit.config import (
+    AuditConfig,
+    DistinctRule,
+    Edge,
+    Exclusion,
+    KeyRule,
+    MeasureRule,
+    PassThroughRule,
+    TableContract,
+    Transform,
+    columns,
+    loan_config,
+)
+from strataudit.functions import exprs
 from strataudit.operators import layers as L
 from strataudit.operators import mutations as M
 from strataudit.sources.layers import LayerStore, scratch_root
@@ -106,3 +119,74 @@ def stored_layers(spark: SparkSession, sf_dir: str, scenario: str = "clean") ->
     staged = dict(zip(lazy, together(*[lambda n=n: store.save(n, lazy[n]) for n in lazy])))
     final = L.loan_portfolio(staged["staging.loans"], staged["staging.customers"])
     return raw | staged | {"final.loan_portfolio": store.save("final.loan_portfolio", final)}
+
+
+# ---------------------------------------------------------------- a second set of tables: what suppliers ship
+
+RAW_SUPPLY_SQL = {
+    "nations": "SELECT cast(n_nationkey AS bigint) AS nation_id, lower(n_name) || ' ' AS nation FROM nation",
+    "suppliers": "SELECT 'S' || lpad(cast(s_suppkey AS string), 6, '0') AS supplier_id, cast(s_nationkey AS bigint) AS nation_id, s_acctbal AS account FROM supplier",
+    "shipments": """SELECT concat_ws('-', cast(l_orderkey AS string), cast(l_linenumber AS string), cast(l_partkey AS string), cast(l_suppkey AS string)) AS line_id,
+  'S' || lpad(cast(l_suppkey AS string), 6, '0') AS supplier_id, l_returnflag AS flag, l_extendedprice AS price, l_shipdate AS shipped FROM lineitem""",
+}
+SHIPMENTS = "line_id string, supplier_id string, flag string, price double, shipped timestamp_ntz"
+
+
+def supply_config() -> AuditConfig:
+    """Nations, suppliers and shipments, joined into supplies and summed up by nation. Returned lines (``A``) drop out."""
+    nations, suppliers = columns("nation_id bigint, nation string"), columns("supplier_id string, nation_id bigint, account double")
+    shipments, returned = columns(SHIPMENTS), Exclusion("flag", ("A",))
+    supplies = columns("line_id string, supplier_id string, nation string, flag string, price double, shipped timestamp_ntz")
+
+    def supply(t):
+        home = t["staging.suppliers"].join(t["staging.nations"], "nation_id").select("supplier_id", "nation")
+        return t["staging.shipments"].join(home, "supplier_id").select("line_id", "supplier_id", "nation", "flag", "price", "shipped")
+
+    def by_nation(t):
+        return t["final.supplies"].groupBy("nation").agg(*exprs("count(*) AS lines", "round(sum(price), 2) AS revenue"))
+
+    return AuditConfig(
+        contracts=(
+            TableContract("raw.nations", nations, ("nation_id",)),
+            TableContract("raw.suppliers", suppliers, ("supplier_id",)),
+            TableContract("raw.shipments", shipments, ("line_id",)),
+            TableContract("staging.nations", nations, ("nation_id",)),
+            TableContract("staging.suppliers", suppliers, ("supplier_id",)),
+            TableContract("staging.shipments", shipments, ("line_id",)),
+            TableContract("final.supplies", supplies, ("line_id",)),
+        ),
+        edges=(
+            Edge("raw.nations", "staging.nations"),
+            Edge("raw.suppliers", "staging.suppliers"),
+            Edge("raw.shipments", "staging.shipments"),
+            Edge("staging.shipments", "final.supplies"),
+            Edge("staging.suppliers", "final.supplies", "supplier_id"),
+            Edge("staging.nations", "final.supplies", "nation"),
+        ),
+        segment_column="flag",
+        date_column="shipped",
+        key_rules=(KeyRule("raw.shipments", "staging.shipments", "line_id", "supplier_id", "staging.suppliers", "raw->staging", "lines"),),
+        distinct_rules=(
+            DistinctRule("raw.suppliers", "staging.suppliers", "supplier_id", "raw->staging", "suppliers"),
+            DistinctRule("raw.shipments", "staging.shipments", "line_id", "raw->staging", "lines", exclusion=returned),
+        ),
+        pass_through_rules=(PassThroughRule("staging.shipments", "final.supplies", "staging->final", "supplier_id", "staging.suppliers",
+                                            "flag", "lines"),),
+        measure_rules=(MeasureRule("price", ("raw.shipments", "staging.shipments", "final.supplies"), ("raw->staging", "staging->final"),
+                                   "line_id", returned),),
+        # the last table first: a stage finds its own order
+        transforms=(
+            Transform("final.nation_revenue", ("final.supplies",), by_nation),
+            Transform("final.supplies", ("staging.shipments", "staging.suppliers", "staging.nations"), supply),
+            Transform("staging.nations", ("raw.nations",), lambda t: L.clean_table(t["raw.nations"], {"nation": "code"}, ["nation_id"])),
+            Transform("staging.suppliers", ("raw.suppliers",), lambda t: L.clean_table(t["raw.suppliers"], {"supplier_id": "strip"}, ["supplier_id"])),
+            Transform("staging.shipments", ("raw.shipments",),
+                      lambda t: L.clean_table(t["raw.shipments"], {"supplier_id": "strip", "flag": "code"}, ["line_id"], returned)),
+        ),
+    )
+
+
+def supply_sources(spark: SparkSession, sf_dir: str) -> Tables:
+    for n in ("nation", "supplier", "lineitem"):
+        table(spark, sf_dir, n).createOrReplaceTempView(n)
+    return {n: spark.sql(text) for n, text in RAW_SUPPLY_SQL.items()}

@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from strataudit.plans.reports import FIX_PLAYBOOK
 from workload import history as W
-from workload.domain import RAW_CUSTOMERS_SQL, RAW_LOANS_SQL, SCENARIOS, SOURCES
-from workload.queries import DRAFT_ROOTS_SQL, DRAFTS_SQL
+from workload.domain import RAW_CUSTOMERS_SQL, RAW_LOANS_SQL, RAW_SUPPLY_SQL, SCENARIOS, SOURCES
+from workload.queries import DRAFT_ROOTS_SQL, DRAFTS_SQL, NOTES_SQL
 
 NUMERAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -280,14 +280,51 @@ def layer_counts(scenario: str = "clean") -> str:
         f"SELECT '{name}' AS \"table\", count(*) AS \"rows\" FROM {rel}" for name, (rel, *_) in TABLES.items()))
 
 
-CLOSURE = f"""WITH RECURSIVE {layers()},
+def supplies(lost: str = "false") -> str:
+    """CTEs of the second set of tables; ``lost`` names suppliers that staging loses."""
+    return f"""raw_nations AS ({RAW_SUPPLY_SQL['nations']}), raw_suppliers AS ({RAW_SUPPLY_SQL['suppliers']}), raw_shipments AS ({RAW_SUPPLY_SQL['shipments']}),
+stg_nations AS (SELECT nation_id, upper(trim(nation)) AS nation FROM raw_nations),
+stg_suppliers AS (SELECT * FROM raw_suppliers WHERE NOT ({lost})),
+stg_shipments AS (SELECT * FROM raw_shipments WHERE flag IS NULL OR flag <> 'A' QUALIFY row_number() OVER (PARTITION BY line_id
+  ORDER BY supplier_id, flag, price, shipped) = 1),
+supplies AS (SELECT line_id, supplier_id, nation, flag, price, shipped FROM stg_shipments JOIN stg_suppliers USING (supplier_id) JOIN stg_nations USING (nation_id)),
+revenue AS (SELECT nation, count(*) AS lines, round(sum(price), 2) AS revenue FROM supplies GROUP BY nation)"""
+
+
+SUPPLY_TABLES = {"raw.nations": "raw_nations", "raw.suppliers": "raw_suppliers", "raw.shipments": "raw_shipments", "staging.nations": "stg_nations",
+                 "staging.suppliers": "stg_suppliers", "staging.shipments": "stg_shipments", "final.supplies": "supplies", "final.nation_revenue": "revenue"}
+
+CLOSURE = f"""WITH RECURSIVE {layers()}, {supplies()},
 edges(src, dst) AS (VALUES ('raw.customers', 'staging.customers'), ('raw.loans', 'staging.loans'),
-  ('staging.loans', 'final.loan_portfolio'), ('staging.customers', 'final.loan_portfolio')),
+  ('staging.loans', 'final.loan_portfolio'), ('staging.customers', 'final.loan_portfolio'), ('raw.nations', 'staging.nations'),
+  ('raw.suppliers', 'staging.suppliers'), ('raw.shipments', 'staging.shipments'), ('staging.shipments', 'final.supplies'),
+  ('staging.suppliers', 'final.supplies'), ('staging.nations', 'final.supplies')),
 reach AS (SELECT src, dst, 1 AS depth FROM edges UNION ALL SELECT r.src, e.dst, r.depth + 1 FROM reach r JOIN edges e ON e.src = r.dst),
-n AS ({" UNION ALL ".join(f"SELECT '{name}' AS t, count(*) AS c FROM {rel}" for name, (rel, *_) in TABLES.items())})
+n AS ({" UNION ALL ".join(f"SELECT '{name}' AS t, count(*) AS c FROM {rel}" for name, rel in [*((k, v[0]) for k, v in TABLES.items()), *SUPPLY_TABLES.items()])})
 SELECT src AS src_table, dst AS dst_table, min(depth) AS depth, any_value(a.c) AS src_rows, any_value(b.c) AS dst_rows
 FROM reach JOIN n a ON a.t = src JOIN n b ON b.t = dst GROUP BY src, dst"""
 
+LOST = "cast(substr(supplier_id, 2) AS bigint) % 10 = 3"
+LOST_SUPPLIERS = f"""WITH {supplies(LOST)},
+n AS (SELECT (SELECT count(*) FROM raw_suppliers) AS s0, (SELECT count(*) FROM stg_suppliers) AS s1, (SELECT count(*) FROM stg_shipments) AS l1,
+  (SELECT count(*) FROM supplies) AS l2, (SELECT sum(price) FROM stg_shipments) AS p1, (SELECT coalesce(sum(price), 0) FROM supplies) AS p2)
+SELECT 'lost_suppliers' AS run_id, category, transition, "table", "column", expected, actual, unmatched_rows FROM (
+  SELECT 'ROW_LOSS' AS category, 'raw->staging' AS transition, 'staging.suppliers' AS "table", cast(NULL AS varchar) AS "column",
+    cast(s0 AS varchar) AS expected, cast(s1 AS varchar) AS actual, cast(NULL AS bigint) AS unmatched_rows FROM n WHERE s0 <> s1
+  UNION ALL SELECT 'ROW_LOSS', 'staging->final', 'final.supplies', NULL, cast(l1 AS varchar), cast(l2 AS varchar),
+    l1 - l2 FROM n WHERE l1 <> l2
+  UNION ALL SELECT 'MEASURE_DRIFT', 'staging->final', 'final.supplies', 'price', printf('%.2f', p1), printf('%.2f', p2), NULL FROM n
+    WHERE abs(100.0 * (p2 - p1) / p1) > 0.5)"""
+LOST_CUSTOMERS = f"""WITH {layers()},
+kept AS (SELECT * FROM stg_customers WHERE cast(customer_id AS bigint) % 7 <> 0), q AS (SELECT l.* FROM stg_loans l JOIN kept USING (customer_id)),
+n AS (SELECT (SELECT count(*) FROM stg_customers) AS c0, (SELECT count(*) FROM kept) AS c1, (SELECT count(*) FROM stg_loans) AS l0,
+  (SELECT count(*) FROM q) AS l1, (SELECT sum(balance) FROM stg_loans) AS b0, (SELECT coalesce(sum(balance), 0) FROM q) AS b1)
+SELECT 'lost_customers' AS run_id, 'row_count' AS "check", 'ROW_LOSS' AS category, 'raw->staging' AS transition, 'staging.customers' AS "table",
+  cast(c0 AS varchar) AS expected, cast(c1 AS varchar) AS actual FROM n WHERE c0 <> c1
+UNION ALL SELECT 'lost_customers', 'row_count', 'ROW_LOSS', 'staging->final', 'final.loan_portfolio', cast(l0 AS varchar), cast(l1 AS varchar) FROM n WHERE l0 <> l1
+UNION ALL SELECT 'lost_customers', 'measure', 'MEASURE_DRIFT', 'staging->final', 'final.loan_portfolio', printf('%.2f', b0), printf('%.2f', b1) FROM n
+  WHERE abs(100.0 * (b1 - b0) / b0) > 0.5"""
+
 # ---------------------------------------------------------------- history
 
 HIST = f"""WITH runs AS ({W.RUNS_SQL}), found AS ({W.FINDINGS_SQL}), diagnosed AS ({W.DIAGNOSED_SQL}),
@@ -625,6 +662,30 @@ ORACLES |= {
     "layer_owner": "SELECT * FROM (VALUES ('raw', 'r2'), ('staging', 'r1'), ('final', 'r1')) t(layer, run_id)",
     "profiles_replaced": ORACLES["profile_raw_loans"],
     "report_roundtrip": ORACLES["diagnosis_null_spike"],
+    "other_tables_run": f"WITH {supplies()} " + " UNION ALL ".join(
+        f"""SELECT 'supplies' AS run_id, '{t.split(".")[0]}' AS layer, '{t.split(".")[1]}' AS "table", count(*) AS "rows" FROM {rel}""" for t, rel in SUPPLY_TABLES.items()),
+    "other_tables_final": f"WITH {supplies()} SELECT * FROM revenue",
+    "other_tables_findings": LOST_SUPPLIERS,
+    "lost_customers_findings": LOST_CUSTOMERS,
+    "landed_files_in_order": over("clean", f"""SELECT 'as_is' AS arrival, loan_id, balance FROM raw_loans WHERE {KEPT_RAW}
+UNION ALL SELECT 'turned', loan_id, CASE WHEN cast(substr(loan_id, 2) AS bigint) % 5 = 0 THEN balance + 1000 ELSE balance END FROM raw_loans WHERE {KEPT_RAW}"""),
+    "stored_profiles": f"""WITH {layers()} SELECT "table", "column", row_count, null_count, distinct_count, duplicate_keys FROM ({all_profiles('clean')})""",
+    "summary_in_order": over("clean", """SELECT row_number() OVER (ORDER BY t DESC, loan_type)::int AS place, loan_type, t AS total_balance
+FROM (SELECT loan_type, round(sum(balance), 2) AS t FROM portfolio GROUP BY loan_type)"""),
+    "schema_scan": over("clean", " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", {i}::int AS position, '{c}' AS "column", '{k}' AS dtype, (SELECT count(*) FROM {TABLES[t][0]}) AS "rows" """
+        for t in ("raw.loans", "staging.loans", "final.loan_portfolio") for i, (c, k) in enumerate(TABLES[t][1].items()))),
+    "latest_run_flags": f"""WITH runs AS ({W.RUNS_SQL}) SELECT run_id, row_number() OVER (ORDER BY started_at DESC, run_id DESC) = 1 AS is_latest FROM runs""",
+    "notes_stored": f"SELECT run_id, md5(markdown) AS markdown_md5 FROM ({NOTES_SQL})",
+    "recorded_truth": over("clean", """SELECT 'r1' AS run_id, 'type_change' AS scenario, 'extract:loans' AS injected_at,
+  count(*) FILTER (WHERE source_system = 'CORE_BANKING') AS rows_affected, 'source_system = ''CORE_BANKING''' AS description FROM raw_loans"""),
+    "gate_in_plan": HIST + """, d AS (SELECT run_id FROM diagnosed), f AS (SELECT r.run_id, concat_ws(' ', r.run_id, r.category, r.transition,
+  concat_ws('.', r."table", r."column"), r.message) AS line FROM ranked r JOIN d USING (run_id) WHERE r.rank = 1)
+SELECT 'all' AS history, (SELECT count(*) FROM f) AS failures,
+  (SELECT string_agg(line, '; ' ORDER BY run_id) FROM (SELECT * FROM f ORDER BY run_id LIMIT 3)) AS first_failures, cast(NULL AS varchar) AS status
+UNION ALL SELECT 'sound', 0, '', 'HEALTHY'""",
+    "mutate_null_hashed": over("clean", """SELECT loan_id, CASE WHEN ('0x' || substr(md5('42:' || loan_id), 1, 13))::bigint % 100 < 35 THEN NULL ELSE balance END AS balance
+FROM raw_loans"""),
     "gate_summary": " UNION ALL ".join(
         f"""SELECT run_id, status, root_category AS category, root_transition AS transition, root_table AS "table", root_column AS "column",
   symptom_count AS symptoms, status = 'FAILED' AS stopped FROM ({ORACLES[f'diagnosis_{s}']}) AS {s}""" for s in ("clean", "null_spike")),

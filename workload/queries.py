@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,8 @@ from strataudit.plans import history as H
 from strataudit.plans import reports as N
 from strataudit.plans.checks import Checks
 from strataudit.plans.findings import SEGMENT_DDL
-from strataudit.plans.runs import Runs
+from strataudit.plans.lineage import closure
+from strataudit.plans.runs import Runs, truth_frame
 from strataudit.sources.history import History
 from strataudit.sources.layers import LayerStore, scratch_root
 from strataudit.sources.local import local_frame
@@ -98,11 +100,13 @@ def unknown_share(spark, sf):
     return R.category_share(D.layers(spark, sf, "null_spike")["final.loan_portfolio"], SHARE)
 
 
+def _row_counts(layers: dict) -> DataFrame:
+    return reduce(DataFrame.unionByName, [df.agg(*exprs("count(*) AS rows")).selectExpr(f"'{name}' AS table", "rows") for name, df in layers.items()])
+
+
 @query
 def layer_row_counts(spark, sf):
-    parts = [df.agg(*exprs("count(*) AS rows")).selectExpr(f"'{name}' AS table", "rows")
-             for name, df in D.layers(spark, sf).items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).unionByName(parts[4])
+    return _row_counts(D.layers(spark, sf))
 
 
 @query
@@ -325,16 +329,11 @@ def null_spike_first_appearance(spark, sf):
 
 @query
 def lineage_closure(spark, sf):
-    """Every table that depends on another, directly or not, with the rows at both ends."""
-    counts = layer_row_counts(spark, sf)
-    edges = CFG.lineage_frame(spark).select("src_table", "dst_table").distinct()
-    closure = spark.sql("""
-        WITH RECURSIVE reach(src_table, dst_table, depth) AS (
-            SELECT src_table, dst_table, 1 FROM {edges}
-            UNION ALL
-            SELECT r.src_table, e.dst_table, r.depth + 1 FROM reach r JOIN {edges} e ON e.src_table = r.dst_table)
-        SELECT src_table, dst_table, min(depth) AS depth FROM reach GROUP BY src_table, dst_table""", edges=edges)
-    return (closure.join(counts.selectExpr("table AS src_table", "rows AS src_rows"), "src_table")
+    """Every table that depends on another, directly or not, with the rows at both ends, for loans and for supplies."""
+    supplies = L.build_layers({f"raw.{n}": df for n, df in D.supply_sources(spark, sf).items()}, D.supply_config().transforms)
+    counts = layer_row_counts(spark, sf).unionByName(_row_counts(supplies))
+    edges = CFG.lineage_frame(spark).unionByName(D.supply_config().lineage_frame(spark))
+    return (closure(edges).join(counts.selectExpr("table AS src_table", "rows AS src_rows"), "src_table")
             .join(counts.selectExpr("table AS dst_table", "rows AS dst_rows"), "dst_table")
             .select("src_table", "dst_table", "depth", "src_rows", "dst_rows"))
 
@@ -448,14 +447,23 @@ def finding_evidence(spark, sf):
 @query
 def finding_segments(spark, sf):
     found = G.diagnose(D.stored_layers(spark, sf, "duplicate_rows"), CFG, "duplicate_rows")
-    return found.segments.select(
-        "verdict", "table", "segment", "extra_rows", "expected", "actual", "delta")
+    return _closing(found, found.segments.select(
+        "verdict", "table", "segment", "extra_rows", "expected", "actual", "delta"))
+
+
+def _closing(found: G.Diagnosis, rows: DataFrame) -> DataFrame:
+    """Rows that read what a diagnosis keeps: stored first, then it is closed."""
+    stored = LayerStore(rows.sparkSession, scratch_root(rows.sparkSession)).save("found.rows", rows)
+    found.close()
+    return stored
 
 
 @query
 def finding_values_dropped_join_key(spark, sf):
     """All values behind a finding that shows a part of them."""
-    return _diagnosis(spark, sf, "dropped_join_key").finding_values.select("run_id", "table", "kind", "value")
+    found = G.diagnose(D.stored_layers(spark, sf, "dropped_join_key"), CFG, "dropped_join_key")
+    values = found.finding_values.select("run_id", "table", "kind", "value")
+    return _closing(found, values)
 
 
 @query
@@ -486,7 +494,7 @@ def landed_then_cleaned(spark, sf):
     """Loans landed, then cleaned from what landing wrote."""
     runs = _runs(spark)
     run = runs.start()
-    runs.run_stage("extract", run, _sources(spark, sf), arrival="1")
+    runs.run_stage("extract", run, _sources(spark, sf), arrival={"loans": "loan_id", "customers": "customer_id"})
     runs.run_stage("staging", run)
     return runs.store.read("staging.loans")
 
@@ -510,6 +518,146 @@ def layer_owner(spark, sf):
     return H.layer_owners(runs.history.read("layer_writes")).select("layer", "run_id")
 
 
+@query
+def landed_files_in_order(spark, sf):
+    """Files with the same keys, landed in two orders and two partitionings: of each key the first to arrive stays."""
+    loans = D.raw_tables(spark, sf)["raw.loans"]
+    again = loans.filter("cast(substr(loan_id, 2) AS bigint) % 5 = 0").selectExpr(
+        *[c if c != "balance" else "balance + 1000 AS balance" for c in loans.columns])
+    parts = []
+    for label, arrivals, files in (("as_is", (loans, again), 1), ("turned", (again, loans), 3)):
+        root = scratch_root(spark)
+        for df in arrivals:
+            df.repartition(files).write.mode("append").parquet(f"{root}/arriving")
+        store = LayerStore(spark, root)
+        store.land("raw.loans", spark.read.parquet(f"{root}/arriving"))
+        landed = store.read("raw.loans").repartition(5, "origination_date")
+        parts.append(L.clean_loans(landed).selectExpr(f"'{label}' AS arrival", "loan_id", "balance"))
+    return parts[0].unionByName(parts[1])
+
+
+def _supply_runs(spark, sf, run: str, edits=None) -> Runs:
+    root = scratch_root(spark)
+    runs = Runs(LayerStore(spark, root), History(spark, root), D.supply_config())
+    runs.run_all(D.supply_sources(spark, sf), "none", run, edits)
+    return runs
+
+
+@query
+def other_tables_run(spark, sf):
+    """Rows per table after a run over nations, suppliers and shipments."""
+    runs = _supply_runs(spark, sf, "supplies")
+    return H.current_runs(runs.history.of_run("run_events", "supplies")).selectExpr("run_id", "explode(row_counts) AS (layer, tables)").selectExpr(
+        "run_id", "layer", "explode(tables) AS (table, rows)")
+
+
+@query
+def other_tables_final(spark, sf):
+    """The last table of that run."""
+    return _supply_runs(spark, sf, "supplies").store.read("final.nation_revenue")
+
+
+@query
+def other_tables_findings(spark, sf):
+    """What a diagnosis finds after every tenth supplier was lost in staging, with what explains it."""
+    runs = _supply_runs(spark, sf, "lost_suppliers", {"staging.suppliers": lambda df: df.filter("cast(substr(supplier_id, 2) AS bigint) % 10 <> 3")})
+    runs.diagnose().close()
+    return runs.history.of_run("findings", "lost_suppliers").filter("severity <> 'info'").selectExpr(
+        "run_id", "category", "transition", "table", "column", "expected", "actual", "evidence.unmatched_rows")
+
+
+@query
+def lost_customers_findings(spark, sf):
+    """Every seventh customer lost in staging: the count of customers tells."""
+    runs = _runs(spark)
+    runs.run_all(_sources(spark, sf), "none", "lost_customers",
+                 {"staging.customers": lambda df: df.filter("cast(customer_id AS bigint) % 7 <> 0")})
+    runs.diagnose().close()
+    return runs.history.of_run("findings", "lost_customers").filter("severity <> 'info'").select(
+        "run_id", "check", "category", "transition", "table", "expected", "actual")
+
+
+@query
+def stored_profiles(spark, sf):
+    """Profiles as a run stores them, distinct counts and all."""
+    runs = _runs(spark)
+    runs.run_all(_sources(spark, sf), "none", "r1")
+    runs.diagnose("r1").close()
+    return runs.history.of_run("layer_profiles", "r1").select("table", "column", "row_count", "null_count", "distinct_count", "duplicate_keys")
+
+
+@query
+def summary_in_order(spark, sf):
+    """The portfolio summary as a reader shows it: largest balance first, with its place."""
+    made = L.ordered_summary(L.portfolio_summary(D.layers(spark, sf)["final.loan_portfolio"]))
+    return made.selectExpr("row_number() OVER (ORDER BY total_balance DESC, loan_type) AS place", "loan_type", "total_balance")
+
+
+@query
+def schema_scan(spark, sf):
+    """Columns of each loan table by position, next to its rows."""
+    layers = D.layers(spark, sf)
+    parts = [P.schema_scan(layers[t]).selectExpr(f"'{t}' AS table", "position", "column", "dtype") for t in D.LOAN_TABLES.values()]
+    return reduce(DataFrame.unionByName, parts).join(layer_row_counts(spark, sf), "table")
+
+
+@query
+def latest_run_flags(spark, sf):
+    """Every run of the history, and whether it is the latest."""
+    runs = W.runs(spark, sf)
+    return H.latest_flags(runs).select("run_id", "is_latest")
+
+
+NOTES_SQL = " UNION ALL ".join(f"""
+SELECT event_type || '{sign}' || cast(user_id % 2 AS string) AS run_id,
+  '## Summary' || chr(10) || cast(count(*) AS string) || '{sign}' || cast(min(event_id) AS string) AS markdown
+FROM events GROUP BY event_type, user_id % 2""" for sign in ("/", "_"))
+
+
+@query
+def notes_stored(spark, sf):
+    """Notes of runs whose ids look alike once cleaned, written, overwritten and read back."""
+    history = History(spark, scratch_root(spark))
+    D.table(spark, sf, "events").createOrReplaceTempView("events")
+    ids = spark.sql(NOTES_SQL)
+    history.write_markdown(ids.selectExpr("run_id", "'first' AS markdown"))
+    history.write_markdown(ids.filter("run_id LIKE '%/%'"))
+    history.write_markdown(ids.filter("run_id NOT LIKE '%/%'"))
+    return history.notes(ids).selectExpr("run_id", "md5(cast(markdown AS binary)) AS markdown_md5")
+
+
+@query
+def recorded_truth(spark, sf):
+    """What runs are on record to have broken, with the rows it touched."""
+    runs = _runs(spark)
+    for name, scenario, place, rows in (("r1", "type_change", "extract:loans", "source_system = 'CORE_BANKING'"), ("r2", "none", None, None)):
+        hit = D.raw_tables(spark, sf)["raw.loans"].filter(rows).count() if rows else None
+        run = runs.start(scenario, run_id=name)
+        runs.run_stage("extract", run, _sources(spark, sf), truth={"scenario": scenario, "injected_at": place, "rows_affected": hit, "description": rows} if rows else None)
+    return truth_frame(H.current_runs(runs.history.read("run_events")))
+
+
+@query
+def gate_in_plan(spark, sf):
+    """The gate over the sound and over the failed part of a history, without a row per run for the driver."""
+    status = G.run_status(W.findings(spark, sf), W.diagnosed(spark, sf))
+    roots = G.root_causes(W.findings(spark, sf)).selectExpr(
+        "run_id", "struct(category, transition, table, column, message) AS root_cause")
+    diagnosed = status.join(roots, "run_id", "left")
+    parts = []
+    for label, rows in (("sound", diagnosed.filter("status = 'HEALTHY'")), ("all", diagnosed)):
+        parts.append(G.gate_frame(rows, 3).selectExpr(f"'{label}' AS history", "failures", "array_join(first_failures, '; ') AS first_failures"))
+    passed = G.gate(diagnosed.filter("status = 'HEALTHY'")).selectExpr("'sound' AS history", "status")
+    return parts[0].unionByName(parts[1]).join(passed, "history", "left")
+
+
+@query
+def mutate_null_hashed(spark, sf):
+    """A third of the loans, by a hash of their key, lose their balance."""
+    loans = D.raw_tables(spark, sf)["raw.loans"]
+    return M.null_out(loans, "balance", M.hashed_share("loan_id", 35)).select("loan_id", "balance")
+
+
 @query
 def profiles_replaced(spark, sf):
     """Profiles of a run that were stored twice: the second replace the first."""
