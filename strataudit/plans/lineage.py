@@ -16,11 +16,12 @@ def closure(edges: DataFrame) -> DataFrame:
     pairs = edges.select("src_table", "dst_table").distinct()
     return edges.sparkSession.sql(f"""
         WITH RECURSIVE reach(src_table, dst_table, depth) MAX RECURSION LEVEL {DEEPEST} AS (
-            SELECT src_table, dst_table, 1 FROM {{pairs}}
+            SELECT src_table, dst_table,
+              CASE WHEN src_table = dst_table THEN raise_error(concat('lineage cycle through ', src_table)) ELSE 1 END
+            FROM {{pairs}}
             UNION ALL
             SELECT r.src_table, e.dst_table,
               CASE WHEN e.dst_table = r.src_table THEN raise_error(concat('lineage cycle through ', r.src_table)) ELSE r.depth + 1 END
-            FROM reach r JOIN {{pairs}} e ON e.src_table = r.dst_table AND r.src_table <> r.dst_table)
-        SELECT src_table, dst_table,
-          min(CASE WHEN src_table = dst_table THEN raise_error(concat('lineage cycle through ', src_table)) ELSE depth END) AS depth
+            FROM reach r JOIN {{pairs}} e ON e.src_table = r.dst_table)
+        SELECT src_table, dst_table, min(depth) AS depth
         FROM reach GROUP BY src_table, dst_table""", pairs=pairs)
