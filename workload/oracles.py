@@ -314,7 +314,9 @@ SELECT 'lost_suppliers' AS run_id, category, transition, "table", "column", expe
   UNION ALL SELECT 'ROW_LOSS', 'staging->final', 'final.supplies', NULL, cast(l1 AS varchar), cast(l2 AS varchar),
     l1 - l2 FROM n WHERE l1 <> l2
   UNION ALL SELECT 'MEASURE_DRIFT', 'staging->final', 'final.supplies', 'price', printf('%.2f', p1), printf('%.2f', p2), NULL FROM n
-    WHERE abs(100.0 * (p2 - p1) / p1) > 0.5)"""
+    WHERE abs(100.0 * (p2 - p1) / p1) > 0.5
+  UNION ALL SELECT 'DUPLICATE_ROWS', 'source->raw', 'raw.shipments', 'line_id', '0', cast(count(*) - count(DISTINCT line_id) AS varchar), NULL
+    FROM raw_shipments HAVING count(*) <> count(DISTINCT line_id))"""
 LOST_CUSTOMERS = f"""WITH {layers()},
 kept AS (SELECT * FROM stg_customers WHERE cast(customer_id AS bigint) % 7 <> 0), q AS (SELECT l.* FROM stg_loans l JOIN kept USING (customer_id)),
 n AS (SELECT (SELECT count(*) FROM stg_customers) AS c0, (SELECT count(*) FROM kept) AS c1, (SELECT count(*) FROM stg_loans) AS l0,
