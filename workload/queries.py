@@ -647,8 +647,9 @@ def gate_in_plan(spark, sf):
     parts = []
     for label, rows in (("sound", diagnosed.filter("status = 'HEALTHY'")), ("all", diagnosed)):
         parts.append(G.gate_frame(rows, 3).selectExpr(f"'{label}' AS history", "failures", "array_join(first_failures, '; ') AS first_failures"))
-    passed = G.gate(diagnosed.filter("status = 'HEALTHY'")).selectExpr("'sound' AS history", "status")
-    return parts[0].unionByName(parts[1]).join(passed, "history", "left")
+    passed = G.gate(diagnosed.filter("status = 'HEALTHY'"))
+    return spark.sql("SELECT *, CASE WHEN history = 'sound' THEN (SELECT status FROM {passed}) END AS status FROM {both}",
+                     passed=passed, both=parts[0].unionByName(parts[1]))
 
 
 @query
