@@ -62,27 +62,55 @@ def duplicate_span(duplicates: DataFrame) -> DataFrame:
         "cast(cast(max(first_date) AS date) AS string) AS date_to"))
 
 
-def exact_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """How many rows repeat another row in every column.
+def row_fingerprint(columns: Sequence[str]) -> list[str]:
+    """Two 64-bit hashes of a row, which make a 128-bit fingerprint. A hash skips NULL, so which values are NULL goes in as a value of its own."""
+    missing = f"concat({', '.join(f'cast({name(c)} IS NULL AS int)' for c in columns)})"
+    values = ", ".join(map(name, columns))
+    return [f"xxhash64({missing}, {values}) AS _h0", f"xxhash64({values}, {missing}, 1) AS _h1"]
+
 
-    Copies share their key, so the repeated keys are found first from the key columns alone; only their rows
-    take part in the comparison of whole rows, which is counted before it is shuffled.
+def counted_rows(df: DataFrame, keys: Sequence[str], segment: str | None = None, date_column: str | None = None) -> DataFrame:
+    """How often each different row occurs: keys ``_k0``, ..., ``segment``, the row's fingerprint, ``rows`` and ``first_date``.
+
+    All figures about repeated keys are read off this frame. The table is exchanged once, as narrow rows that are counted before they
+    move: the copies of a row leave a task as one, and different rows of a key that holds a third of the table go to different tasks.
     """
-    df = df.drop(*TECHNICAL_COLUMNS)
-    repeated = df.groupBy(*map(name, keys)).count().filter("count > 1").selectExpr(
-        *[f"{name(k)} AS _k{i}" for i, k in enumerate(keys)])
-    same_key = F.expr(" AND ".join(f"{name(k)} <=> _k{i}" for i, k in enumerate(keys)))
-    suspects = df.join(repeated, same_key, "left_semi")
-    copies = suspects.groupBy(*map(name, df.columns)).count()
-    return copies.agg(*exprs("coalesce(sum(count - 1), 0L) AS exact_copies"))
+    columns = [c for c in df.columns if c not in TECHNICAL_COLUMNS]
+    narrow = df.selectExpr(*[f"{name(k)} AS _k{i}" for i, k in enumerate(keys)], f"{_segment(segment)} AS segment",
+                           f"{name(date_column) if date_column else 'cast(null AS date)'} AS _date", *row_fingerprint(columns))
+    return narrow.groupBy(*_keys(keys), "segment", "_h0", "_h1").agg(*exprs("count(*) AS rows", "min(_date) AS first_date"))
 
 
-def surplus_by_segment(df: DataFrame, keys: Sequence[str], segment: str | None) -> DataFrame:
-    """Surplus keys per segment. Counting per (segment, key) first keeps a dominant segment spread out."""
-    per_key = df.selectExpr(f"{_segment(segment)} AS segment", *[f"{name(k)} AS _k{i}" for i, k in enumerate(keys)])
-    counted = per_key.groupBy("segment", *[f"_k{i}" for i in range(len(keys))]).count()
+def _keys(keys: Sequence[str]) -> list[str]:
+    return [f"_k{i}" for i in range(len(keys))]
+
+
+def copies_among(counted: DataFrame) -> DataFrame:
+    """How many rows repeat another row in every column."""
+    return counted.agg(*exprs("coalesce(sum(rows - 1), 0L) AS exact_copies"))
+
+
+def repeated_among(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once, with their row count and their first date."""
+    return counted.groupBy(*_keys(keys)).agg(*exprs("sum(rows) AS copies", "min(first_date) AS first_date")).filter("copies > 1")
+
+
+def surplus_among(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Surplus keys per segment, counted per (segment, key) first, so that a dominant segment stays spread out."""
+    per_key = counted.groupBy("segment", *_keys(keys)).agg(*exprs("sum(rows) AS rows"))
     present = "_k0 IS NOT NULL" if len(keys) == 1 else "true"
-    return counted.groupBy("segment").agg(*exprs(f"sum(count) - count_if({present}) AS extra_rows"))
+    return per_key.groupBy("segment").agg(*exprs(f"sum(rows) - count_if({present}) AS extra_rows"))
+
+
+def exact_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How many rows repeat another row in every column. Rows go by their keys and a 128-bit fingerprint."""
+    return copies_among(counted_rows(df, keys))
+
+
+def surplus_by_segment(df: DataFrame, keys: Sequence[str], segment: str | None) -> DataFrame:
+    """Surplus keys per segment, from the key columns alone."""
+    columns = df.selectExpr(f"{_segment(segment)} AS segment", *[f"{name(k)} AS _k{i}" for i, k in enumerate(keys)])
+    return surplus_among(columns.groupBy("segment", *_keys(keys)).agg(*exprs("count(*) AS rows")), keys)
 
 
 # ---------------------------------------------------------------- orphans
@@ -95,7 +123,8 @@ def orphan_rows(df: DataFrame, reference: DataFrame, key: str) -> DataFrame:
 def orphan_keys(df: DataFrame, reference: DataFrame, key: str, segment: str | None) -> DataFrame:
     """Unmatched keys per segment with their row counts: (key, segment, unmatched_rows).
 
-    Rows are counted per key before the join, so a key held by a third of the rows joins as one row.
+    Rows are counted per key before the join, so a key held by a third of the rows joins as one row. Where the reference is small enough
+    to be sent to all tasks, the optimizer may join first: that moves no row of ``df``, and what it counts then are the unmatched rows only.
     """
     counted = df.selectExpr(name(key), f"{_segment(segment)} AS segment").groupBy(name(key), "segment").agg(
         *exprs("count(*) AS unmatched_rows"))

@@ -387,11 +387,11 @@ class Details:
     ``flagged`` are findings, collected: at most one per contract column and check.
     """
 
-    def __init__(self, layers: Layers, cfg: AuditConfig, run_id: str, changes: Mapping[int, DataFrame],
-                 totals: Mapping[int, DataFrame], flagged: list[Row], unique: Collection[str] = ()):
-        self.unique = unique
+    def __init__(self, layers: Layers, cfg: AuditConfig, run_id: str, changed: Mapping[int, DataFrame],
+                 changes: Mapping[int, DataFrame], totals: Mapping[int, DataFrame], flagged: list[Row]):
         self.layers, self.cfg, self.run_id = layers, cfg, run_id
-        self.changes, self.totals, self.flagged = changes, totals, flagged
+        self.changed, self.changes, self.totals, self.flagged = changed, changes, totals, flagged
+        self.unmatched: dict[tuple[str, str, str], DataFrame] = {}
         self.rows: list[DataFrame] = []
         self.segments: list[DataFrame] = []
         self.lost: list[DataFrame] = []
@@ -442,8 +442,7 @@ class Details:
             by_table.setdefault(f.table, {})[f"{f.verdict} {f.column}"] = (f, condition)
         for table, items in by_table.items():
             segment = self._segment_column(table)
-            counts = cached_aggregate(E.segment_counts(self.layers[table], segment, {k: c for k, (_, c) in items.items()}))
-            self.kept.append(counts)
+            counts = self._keep(E.segment_counts(self.layers[table], segment, {k: c for k, (_, c) in items.items()}))
             for item, (f, _) in items.items():
                 mine = counts.filter(f"item = {lit(item)}")
                 summed = mine.agg(*exprs("coalesce(sum(affected), 0L) AS n", "coalesce(sum(rows), 0L) AS m",
@@ -456,25 +455,35 @@ class Details:
     def _expects_number(self, f: Row) -> bool:
         return is_numeric(self.cfg.contract(f.table).schema[f.column].dataType)
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        self.kept.append(cached_aggregate(df))
+        return self.kept[-1]
+
+    def _orphans(self, table: str, reference: str, column: str) -> DataFrame:
+        """Unmatched keys of a table, joined once however many findings speak of them."""
+        at = (table, reference, column)
+        if at not in self.unmatched:
+            self.unmatched[at] = self._keep(E.orphan_keys(self.layers[table], self.layers[reference], column, self._segment_column(table)))
+        return self.unmatched[at]
+
     def _uniqueness(self, f: Row) -> None:
-        df, keys = self.layers[f.table], self.cfg.contract(f.table).keys
-        self._row(E.exact_copies(df, keys), f, "exact_copies", number="exact_copies")
+        df, keys, segment = self.layers[f.table], self.cfg.contract(f.table).keys, self._segment_column(f.table)
         date = self.cfg.date_column if self.cfg.date_column in df.columns else None
+        counted = self._keep(E.counted_rows(df, keys, segment, date))
+        self._row(E.copies_among(counted), f, "exact_copies", number="exact_copies")
         if date:
-            span = E.duplicate_span(E.duplicate_keys(df, keys, date))
+            span = E.duplicate_span(E.repeated_among(counted, keys))
             self._figures(span, f, {"duplicated_keys": ("duplicated_keys", "null"), "date_from": ("null", "date_from"),
                                     "date_to": ("null", "date_to")})
-            start = df.agg(*exprs(f"cast(cast(min({name(date)}) AS date) AS string) AS start"))
+            start = counted.agg(*exprs("cast(cast(min(first_date) AS date) AS string) AS start"))
             self._row(start, f, "table_start", text="start")
-        if self._segment_column(f.table):
-            self._segment(E.surplus_by_segment(df, keys, self.cfg.segment_column), f, "extra_rows",
-                          extra_rows="extra_rows")
+        if segment:
+            self._segment(E.surplus_among(counted, keys), f, "extra_rows", extra_rows="extra_rows")
 
     def _key_integrity(self, f: Row) -> None:
         rule = self.cfg.key_rules[f.item_idx]
-        changed = key_changes(self.layers, self.cfg, f.item_idx, self.unique)
-        self._row(E.changed_key_examples(changed), f, "sample", text="value")
-        orphans = E.orphan_keys(self.layers[rule.after], self.layers[rule.reference], rule.column, None)
+        self._row(E.changed_key_examples(self.changed[f.item_idx]), f, "sample", text="value")
+        orphans = self._orphans(rule.after, rule.reference, rule.column)
         self._row(orphans.agg({"unmatched_rows": "sum"}), f, "unmatched_rows", number="`sum(unmatched_rows)`")
         self._segment(self.changes[f.item_idx], f, "changed", changed_rows="changed")
 
@@ -484,8 +493,7 @@ class Details:
             return
         before, reference = self.layers[rule.before], self.layers[rule.reference]
         segment = self._segment_column(rule.before)
-        orphans = cached_aggregate(E.orphan_keys(before, reference, rule.column, segment))
-        self.kept.append(orphans)
+        orphans = self._orphans(rule.before, rule.reference, rule.column)
         per_segment = orphans.groupBy("segment").agg(*exprs("sum(unmatched_rows) AS unmatched_rows"))
         summed = per_segment.agg(*exprs("sum(unmatched_rows) AS n",
                                         E.sole_segment("unmatched_rows", self.cfg.segment_column) + " AS sole"))

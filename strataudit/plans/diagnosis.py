@@ -249,9 +249,9 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
         tables = as_local(profiles.select("run_id", "layer", "table", "row_count", "duplicate_keys").distinct())
         # a table without surplus keys needs no de-duplication in any of the comparisons below
         unique = {r.table for r in tables.filter("duplicate_keys = 0").collect()}
-        changes = {i: keep(key_changes(layers, cfg, i, unique).groupBy("segment").agg(*exprs(
-            "sum(changed) AS changed", "sum(padded) AS padded")).filter("changed > 0"))
-            for i in range(len(cfg.key_rules))}
+        changed = {i: keep(key_changes(layers, cfg, i, unique).filter("changed > 0")) for i in range(len(cfg.key_rules))}
+        changes = {i: keep(rows.groupBy("segment").agg(*exprs("sum(changed) AS changed", "sum(padded) AS padded")))
+                   for i, rows in changed.items()}
         totals = {i: keep(R.segment_totals(layers, rule, cfg.segment_column, unique if _keyed(cfg, rule) else ()))
                   for i, rule in enumerate(cfg.measure_rules)}
         facts = as_local(layer_facts(layers, cfg, run_id, changes, totals, unique))
@@ -259,7 +259,7 @@ def diagnose(layers: Layers, cfg: AuditConfig, run_id: str = "adhoc", distinct:
         flagged = findings.filter(f"severity <> '{INFO}'").collect()
         segments, lost = local_frame(spark, [], SEGMENT_DDL), local_frame(spark, [], VALUES_DDL)
         if flagged:
-            details = Details(layers, cfg, run_id, changes, totals, flagged, unique)
+            details = Details(layers, cfg, run_id, changed, changes, totals, flagged)
             kept += details.kept
             segments, lost = details.segment_frame(spark), details.lost_frame(spark)
             rows = details.detail_rows()

@@ -82,6 +82,16 @@ def test_duplicate_counts(spark):
     [p] = {r.duplicate_keys for r in P.profile_tables([("t", df, ("k", "n"))]).collect()}
     assert p == 3
     assert {r.segment: r.extra_rows for r in E.surplus_by_segment(df, ["k"], "k").collect()} == {"a": 2, "b": 1, None: 1}
+    counted = E.counted_rows(df, ["k"], "k")
+    assert {r.segment: r.extra_rows for r in E.surplus_among(counted, ["k"]).collect()} == {"a": 2, "b": 1, None: 1}
+    assert E.repeated_among(counted, ["k"]).count() == 2
+    assert E.exact_copies(df.limit(0), ["k"]).first().exact_copies == 0
+
+
+def test_fingerprints_tell_missing_values_apart(spark):
+    df = spark.createDataFrame([("a", None, "x"), ("a", "x", None), ("a", None, None), ("a", None, None), ("a", "", None), ("a", None, "")],
+                               "k string, v string, w string")
+    assert E.exact_copies(df, ["k"]).first().exact_copies == 1
 
 
 def test_profile_of_every_type(spark):

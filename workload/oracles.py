@@ -418,7 +418,7 @@ parts AS (SELECT r.run_id, n.*  EXCLUDE (run_id), d.errors, e.bullets, b.steps,
   LEFT JOIN {_playbook('numbered')} ON b.category = n.category)
 SELECT run_id, CASE WHEN n IS NULL THEN 'HEALTHY' ELSE 'FAILED' END AS status,
   CASE WHEN n IS NOT NULL AND grounded THEN 'draft' ELSE 'template' END AS source,
-  '# Layer incident report - run ' || run_id || {GAP} || 'Status: **' || CASE WHEN n IS NULL THEN 'HEALTHY' ELSE 'FAILED' END
+  '# Pipeline incident report - run ' || run_id || {GAP} || 'Status: **' || CASE WHEN n IS NULL THEN 'HEALTHY' ELSE 'FAILED' END
   || '** | written by: ' || CASE WHEN n IS NOT NULL AND grounded THEN 'draft / writer' ELSE 'template' END || {GAP} ||
   CASE WHEN n IS NULL THEN '## Summary' || chr(10) || 'All checks passed. Row counts, schemas, keys, nulls and balance totals reconcile across raw, staging and final.'
     || {GAP} || 'Checks run: schema, key_integrity, uniqueness, nulls, row_counts, measures, distribution' || {GAP} || '## Expected changes' || chr(10)
@@ -431,8 +431,8 @@ FACT_TEXT = TEXTS + f""", passed AS (SELECT run_id, string_agg(verdict || '=' ||
   FROM runs r, (VALUES {", ".join(f"({i}, '{v}')" for i, v in enumerate(VERDICT_ORDER))}) v(i, verdict)) GROUP BY run_id),
 impacts AS (SELECT run_id, max(row_count) FILTER (WHERE layer = 'final') AS fin, max(row_count) FILTER (WHERE layer = 'staging') AS stg,
   max(sum_value) FILTER (WHERE layer = 'final') AS total FROM profiles GROUP BY run_id)
-SELECT run_id, 'FACTS' || chr(10) || 'Run: ' || run_id || chr(10) || 'Layers: source systems -> raw -> staging (cleaning) -> final (join of loans to customers)'
-  || chr(10) || 'Checks: ' || checks || {GAP} || 'ROOT CAUSE (earliest failure):' || chr(10) || root_body || {GAP}
+SELECT run_id, 'FACTS' || chr(10) || 'Run: ' || run_id || chr(10) || 'Steps, in order: source->raw, raw->staging, staging->final'
+  || chr(10) || 'Checks: ' || checks || {GAP} || 'ROOT CAUSE (earliest failure in the pipeline):' || chr(10) || root_body || {GAP}
   || 'DOWNSTREAM SYMPTOMS (caused by the root cause):' || chr(10) || symptoms || {GAP}
   || 'EXPECTED CHANGES (normal business rules, NOT problems):' || chr(10) || coalesce(lines, '  none') || {GAP}
   || 'FINAL LAYER NOW:' || chr(10) || '  loan rows: ' || format('{{:,}}', fin) || ' (staging had ' || format('{{:,}}', stg) || ')' || chr(10)
@@ -485,7 +485,7 @@ texts AS (SELECT ranked.* , '[' || category || '] at step ' || transition || ',
   ELSE actual END || chr(10) || evidence.body AS body FROM ranked JOIN evidence USING ("check")),
 root AS (SELECT * FROM texts WHERE r = 1)
 SELECT 'dropped_join_key' AS run_id, 'FAILED' AS status, 'no draft - used template' AS note,
-  '# Layer incident report - run dropped_join_key' || {GAP} || 'Status: **FAILED** | written by: template' || {GAP} || '## Summary' || chr(10) || message
+  '# Pipeline incident report - run dropped_join_key' || {GAP} || 'Status: **FAILED** | written by: template' || {GAP} || '## Summary' || chr(10) || message
   || '. The problem started at the ' || transition || ' step and is limited to source_system = ''CARD_PLATFORM''. It caused '
   || (SELECT count(*) FROM texts WHERE r > 1) || ' downstream issue(s) in later layers.' || {GAP}
   || '## Where it broke' || chr(10) || 'Step `' || transition || '`, column `' || place || '`.' || {GAP}
