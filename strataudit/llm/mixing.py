@@ -27,25 +27,45 @@ class Mix:
     taken: DataFrame
 
 
-def targets(sizes: DataFrame, share: float, weights: tuple[int, ...], most: float, block: int) -> DataFrame:
+def numbered(sizes: DataFrame, per_range: int) -> DataFrame:
+    """``sizes`` with ``src``, the number of the source by code point, null last: ranges of sources, each numbered from where it starts."""
+    ranges = max(1, -(-sizes.count() // per_range))
+    order = F.col("source").asc_nulls_last()
+    cut = kept(sizes.repartitionByRange(ranges, order).withColumn("range", F.spark_partition_id()))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut.groupBy("range").count().select("range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    within = F.row_number().over(Window.partitionBy("range").orderBy(order))
+    return cut.withColumn("within", within).join(starts, "range").select("source", "source_size", (F.col("base") + F.col("within") - 1).alias("src"))
+
+
+def filled(caps: DataFrame, total: float) -> float | None:
+    """The level at which the sources' ``least(cap, level * weight)`` sum up to ``total``; None if all caps together are less.
+
+    It rises from the level without caps: what full sources leave over is shared out among the others until no other is full. A
+    step brings one row to the driver.
+    """
+    level = 0.0
+    while True:
+        full = F.col("cap") <= F.col("weight") * level
+        row = caps.agg(F.sum(F.when(full, F.col("cap"))).alias("taken"), F.sum(F.when(~full, F.col("weight"))).alias("left")).first()
+        if row.left is None:
+            return None
+        raised = (total - (row.taken or 0.0)) / row.left
+        if raised <= level:
+            return level
+        level = raised
+
+
+def targets(sizes: DataFrame, share: float, weights: tuple[int, ...], most: float, block: int, per_range: int = 1 << 16) -> DataFrame:
     """``src`` (number of the source by code point, null last), its target in words, its blocks and its slots.
 
     Targets are the level times the weight, or ``most`` times the size where that is less, and sum up to ``share`` of
-    all sizes: what sources cannot take is shared out by weight among the others. One row per source meets in a task.
+    all sizes: what sources cannot take is shared out by weight among the others.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), (F.col("src") % len(weights)).cast("int"))
-    level = Window.orderBy("full", "src").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.orderBy("full", "src").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    none = F.lit(0.0)
-    step = (sizes.withColumn("src", (F.row_number().over(by_name) - 1).cast("bigint")).withColumn("weight", weight)
-            .withColumn("cap", F.col("source_size") * F.lit(float(most))).withColumn("full", F.col("cap") / F.col("weight"))
-            .withColumn("capped", F.coalesce(F.sum("cap").over(level), none))
-            .withColumn("left", F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(level), none))
-            .withColumn("level", (F.sum("source_size").over(every) * F.lit(float(share)) - F.col("capped")) / F.col("left"))
-            # In order of the level at which they fill up, the first source that stays below its cap sets the level.
-            .withColumn("level", F.max(F.when(F.col("level") <= F.col("full"), F.col("level"))).over(every))
-            .withColumn("target", F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap")))))
+    step = kept(numbered(sizes, per_range).withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(float(most))))
+    level = filled(step, share * float(step.agg(F.sum("source_size")).first()[0] or 0))
+    step = step.withColumn("target", F.col("cap") if level is None else F.least("cap", F.lit(level) * F.col("weight")))
     blocks = F.ceil(F.col("source_size") / block)
     return (step.withColumn("blocks", blocks.cast("bigint"))
             .withColumn("n_slots", F.when(F.col("source_size") > 0,
@@ -83,32 +103,53 @@ def _key(seed: int, *parts: np.ndarray) -> np.ndarray:
     return key
 
 
-def draw(sources: DataFrame, shards: int, seed: int) -> DataFrame:
+SHARDS_AT_ONCE = 1 << 10
+MOST_TASKS = 1 << 14
+
+
+def draw(sources: DataFrame, shards: int, seed: int, at_once: int = SHARDS_AT_ONCE) -> DataFrame:
     """For each source and shard: how many slots of the shard the source gets, and its slots before these.
 
-    Each slot of a source falls into any shard alike: multinomial counts per shard, of which each source's sum is known.
+    Each slot of a source falls into any shard alike: multinomial counts per shard, of which each source's sum is known. They are drawn
+    for groups of ``at_once`` shards first and then, in tasks of their own, within each group, which is the same distribution.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    groups = -(-shards // at_once)
+    sizes = np.full(groups, at_once)
+    sizes[-1] = shards - at_once * (groups - 1)
+
+    def over_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for src, blocks, n in zip(pdf["src"], pdf["blocks"], pdf["n_slots"], strict=True):
-                counts = np.random.default_rng([seed, int(src)]).multinomial(int(n), np.full(shards, 1 / shards))
-                yield pd.DataFrame({"src": src, "blocks": blocks, "shard": np.arange(shards), "first": np.cumsum(counts) - counts,
+                counts = np.random.default_rng([seed, int(src)]).multinomial(int(n), sizes / shards)
+                yield pd.DataFrame({"src": src, "blocks": blocks, "group": np.arange(groups), "first": np.cumsum(counts) - counts,
                                     "n": counts})[counts > 0]
 
-    return sources.select("src", "blocks", "n_slots").where("n_slots > 0").mapInPandas(
-        run, "src bigint, blocks bigint, shard bigint, first bigint, n bigint")
+    def over_shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for src, blocks, group, first, n in pdf.itertuples(index=False):
+                many = int(sizes[group])
+                counts = np.random.default_rng([seed, int(src), int(group), 1]).multinomial(int(n), np.full(many, 1 / many))
+                yield pd.DataFrame({"src": src, "blocks": blocks, "shard": group * at_once + np.arange(many),
+                                    "first": first + np.cumsum(counts) - counts, "n": counts})[counts > 0]
+
+    grouped = sources.select("src", "blocks", "n_slots").where("n_slots > 0").mapInPandas(
+        over_groups, "src bigint, blocks bigint, group bigint, first bigint, n bigint")
+    return grouped.repartition(min(groups, MOST_TASKS), "src", "group").mapInPandas(
+        over_shards, "src bigint, blocks bigint, shard bigint, first bigint, n bigint")
 
 
-def drawn_blocks(counts: DataFrame, seed: int) -> DataFrame:
+def drawn_blocks(counts: DataFrame, shards: int, seed: int) -> DataFrame:
     """One row per slot: shard, source, the source's running slot number and the block it shows. A source's slots pass
-    through all its blocks in one pseudorandom order, then through all again in another."""
+    through all its blocks in one pseudorandom order, then through all again in another. Slots are made where their shard's counts
+    lie, spread over a task per shard (16,384 at most)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             slot, size, src = (pdf[c].to_numpy(np.int64) for c in ("slot", "blocks", "src"))
             yield pd.DataFrame({"shard": pdf["shard"], "src": src, "slot": slot,
                                 "block": permuted(slot % size, size, _key(seed, src, slot // size))})
 
-    slots = counts.select("shard", "src", "blocks", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("slot"))
+    spread = counts.repartition(min(shards, MOST_TASKS), "src", "shard")
+    slots = spread.select("shard", "src", "blocks", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("slot"))
     return slots.mapInPandas(run, "shard bigint, src bigint, slot bigint, block bigint")
 
 
@@ -116,18 +157,22 @@ def placed(sized: DataFrame, sources: DataFrame, rows_per_group: int, seed: int)
     """``sized`` with ``src`` and ``start``, where the row begins in its source's stream of words.
 
     A running sum in two steps, over groups of about ``rows_per_group`` rows of a source and then within each, so a
-    source with a third of all rows is spread over many tasks.
+    source with a third of all rows is spread over many tasks. Rows lie by a hash of id and text: those without an id, or with one
+    id, are spread as well. Rows that agree in both lie side by side and go through the sums as one.
     """
     groups = max(1, -(-sized.count() // rows_per_group))
-    named = (sized.join(sources.select("src", F.col("source").alias("name")), F.col("source").eqNullSafe(F.col("name")))
-             .drop("name").withColumn("place", F.xxhash64(F.lit(seed), "doc_id"))
-             .withColumn("group", F.pmod("place", F.lit(groups))))
+    alike = sized.groupBy("doc_id", "source", "size", "text_hash").agg(F.count("*").alias("copies"))
+    named = (alike.join(sources.select("src", F.col("source").alias("name")), F.col("source").eqNullSafe(F.col("name")))
+             .drop("name").withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "text_hash"))
+             .withColumn("group", F.pmod("place", F.lit(groups))).withColumn("all", F.col("size") * F.col("copies")))
     before = Window.partitionBy("src").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    starts = named.groupBy("src", "group").agg(F.sum("size").alias("n")).select(
+    starts = named.groupBy("src", "group").agg(F.sum("all").alias("n")).select(
         "src", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("src", "group").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    return (named.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0))).join(starts, ["src", "group"])
-            .select("doc_id", "src", "source", "size", (F.col("base") + F.col("within")).alias("start")))
+    within = Window.partitionBy("src", "group").orderBy("place", "doc_id", "text_hash", "size").rowsBetween(Window.unboundedPreceding, -1)
+    return (named.withColumn("within", F.coalesce(F.sum("all").over(within), F.lit(0))).join(starts, ["src", "group"])
+            .select("doc_id", "src", "source", "size", (F.col("base") + F.col("within")).alias("begin"),
+                    F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy"))
+            .select("doc_id", "src", "source", "size", (F.col("begin") + F.col("copy") * F.col("size")).alias("start")))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5,
@@ -142,11 +187,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Other columns are not read.
     """
     sized = kept(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                             F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")))
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+                             F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), F.xxhash64(text_col).alias("text_hash")))
+    sizes = kept(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
     sources = kept(targets(sizes, share, weights, most, block))
     shards = max(1, -(-(sources.agg(F.sum("n_slots")).first()[0] or 0) // slots_per_shard))
-    slots = drawn_blocks(draw(sources, shards, seed), seed)
+    slots = drawn_blocks(draw(sources, shards, seed), shards, seed)
     where = kept(placed(sized, sources, rows_per_group, seed))
     pieces = words_in_blocks(where, block)
     times = slots.groupBy("src", "block").agg(F.count("*").alias("times"))
