@@ -32,12 +32,11 @@ def _base32(digest: bytes) -> str:
 
 def chunked(rows: DataFrame, payload: str, size: int = CHUNK) -> DataFrame:
     """A row per ``size`` bytes of the binary column ``payload``, one at least: its other columns, ``chunk_no``,
-    ``data``. A payload's chunks follow one another in order."""
+    ``data``. A payload's chunks follow one another in order, and are cut off one at a time."""
     n = F.greatest(F.ceil(F.octet_length(payload) / size), F.lit(1)).cast("int")
-    parts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        i.alias("chunk_no"), F.substring(F.col(payload), i * size + 1, F.lit(size)).alias("data")))
     others = [c for c in rows.columns if c != payload]
-    return rows.select(*others, F.explode(parts).alias("chunk")).select(*others, "chunk.chunk_no", "chunk.data")
+    return rows.select(*others, payload, F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk_no")).select(
+        *others, "chunk_no", F.substring(F.col(payload), F.col("chunk_no") * size + 1, F.lit(size)).alias("data"))
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,9 +197,9 @@ def _records_of(stream: io.BufferedReader, chunk: int, keep: bool) -> Iterator[d
                 break
 
 
-def read(manifest: DataFrame, folder: str | None = None, chunk: int = CHUNK, keep_data: bool = True) -> DataFrame:
+def read(manifest: DataFrame, folder: str | None = None, chunk: int = CHUNK, keep_data: bool = True, tasks: int = 1 << 16) -> DataFrame:
     """The chunk table of the archives of a manifest: a row per record and chunk number, with the payload bytes, the
-    length and digest of the payload up to this chunk, and whether it is the last.
+    length and digest of the payload up to this chunk, and whether it is the last. Archives are read side by side, in ``tasks`` tasks at most.
 
     ``keep_data=False`` leaves the bytes out once they are digested. A revisit has one empty chunk and states the length
     and digest of the payload that it refers to.
@@ -222,6 +221,8 @@ def read(manifest: DataFrame, folder: str | None = None, chunk: int = CHUNK, kee
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=CHUNKS)
 
-    return manifest.select("path").repartition("path").mapInArrow(
+    # A number of its own for each archive: adaptive execution would draw paths, which are short, together into one task.
+    tasks = min(max(1, manifest.count()), tasks)
+    return manifest.select("path").repartitionByRange(tasks, "path").mapInArrow(
         run, "record_id string, page_id string, url string, record_type string, refers_to string, stated_bytes bigint, "
              "stated_digest string, chunk_no int, data binary, bytes_so_far bigint, digest_so_far string, last boolean")

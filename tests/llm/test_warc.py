@@ -22,3 +22,20 @@ def test_roundtrip(spark):
                      ("5", "response", None), ("6", "revisit", "5"), ("7", "response", None)}
     assert warc.read(warc.write(pages.limit(0))).count() == 0
     assert {r.record_type for r in warc.read(warc.write(pages, least=10**6)).collect()} == {"response"}
+
+
+def test_archives_are_read_side_by_side(spark):
+    pages = spark.range(64).selectExpr("id AS page_id", "'u' AS url", "repeat(cast(id AS string), 3000) AS html").repartition(8)
+    manifest = warc.write(pages, archive_bytes=20_000)
+    read = warc.read(manifest, keep_data=False).selectExpr("spark_partition_id() AS p", "page_id").toPandas()
+    assert len(read) == 64 and read.p.nunique() > 0.6 * manifest.count() > 4
+
+
+def test_a_long_payload_in_chunks(spark):
+    """Forty megabytes: chunks of the right sizes, with running lengths and digests."""
+    pages = spark.range(1).selectExpr("id AS page_id", "'u' AS url", "repeat('0123456789abcdef', 2621440) || 'z' AS html")
+    rows = warc.read(warc.write(pages), chunk=1 << 20, keep_data=False).orderBy("chunk_no").collect()
+    text = b"0123456789abcdef" * 2621440 + b"z"
+    assert [r.bytes_so_far for r in rows] == [*range(1 << 20, len(text), 1 << 20), len(text)] and [r.last for r in rows] == [False] * 40 + [True]
+    for r in (rows[0], rows[20], rows[-1]):
+        assert r.digest_so_far == base64.b32encode(hashlib.sha1(text[:r.bytes_so_far]).digest()).decode()
