@@ -122,3 +122,20 @@ def test_meeting_in_parts():
     times = np.unique(pairs, return_counts=True)[1]
     assert len(times) == 100 and times.min() >= 3 and len(pairs) < 310 and len(seen) == 8
     assert [len(x) for x in lines._meet(members[:0], 8, 3, 0)] == [0, 0]
+
+
+def test_crowds_lose_no_link(spark):
+    """Families of lines whose sketches are near although their texts are not all similar: stars alone leave links out."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(300)]
+    docs = []
+    for _ in range(6):
+        base = [rng.choice(words) for _ in range(24)]
+        for _ in range(12):
+            family = [w if rng.random() > 0.12 else rng.choice(words) for w in base]
+            for _ in range(4):
+                docs.append((len(docs), " ".join(w if rng.random() > 0.06 else rng.choice(words) for w in family)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    few = lines.repeats(df, crowd=1, draws=1).select("id", "of_id").collect()
+    all_pairs = lines.repeats(df, crowd=10**9).select("id", "of_id").collect()
+    assert sorted(map(tuple, few)) == sorted(map(tuple, all_pairs)) and len(few) >= 100
