@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataudit.llm import marks
-from strataudit.llm.common import column_type, kept, utf8, written
+from strataudit.llm.common import column_type, kept, pieces, utf8, written
 from strataudit.llm.lines import keyed, normal
 
 #: Which of the words in a window count; at any dash the words may differ.
 MASKS = ("######", "##-#--##-##", "#-##--#-#-##-#", "###---#--#---##")
+PIECE = 1 << 20  # bytes of text whose words are known at once
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
 
@@ -64,7 +65,7 @@ def seed_rows(docs: DataFrame, masks: tuple[str, ...], wanted: np.ndarray | None
     shared = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "text", PIECE):
             for row, at, h in _hits(utf8(batch.column("text")), masks, None if shared is None else shared.value):
                 ids = batch.select(["k", "id"]).take(pa.array(np.full(len(at), row)))
                 yield pa.RecordBatch.from_arrays([*ids.columns, pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))], names=["k", "id", "at", "h"])
@@ -110,7 +111,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     item_type = column_type(items, "id")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "doc_text", PIECE):
             seen = WordHashes()
             keep, out = [], []
             columns = (utf8(batch.column("doc_text")), utf8(batch.column("item_text")), batch.column("offsets").to_pylist())
