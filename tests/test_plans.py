@@ -122,3 +122,13 @@ def test_a_diagnosis_joins_and_counts_once(spark, sf_small, broadcast_up_to, mon
         assert E.exact_copies(hot, ["loan_id"]).first()[0] == rows.count() - rows.distinct().count()
     finally:
         found.close()
+
+
+def test_surplus_keys_are_dealt_to_a_fixed_number_of_tasks(spark):
+    """Adaptive execution does not draw tasks that hold a row per key together; a key's rows go to several of them first."""
+    rows = spark.range(5_000).selectExpr("if(id % 3 = 0, 7, id) AS k", "if(id % 2 = 0, 'a', 'b') AS s")
+    found = E.surplus_by_segment(rows, ("k",), "s")
+    text = plan(found)
+    assert text.count(f", {E.PARTS}), REPARTITION_BY_NUM") == 2 and "_salt" in text
+    want = {r.s: r.n - r.keys for r in rows.groupBy("s").agg(F.count("*").alias("n"), F.count_distinct("k").alias("keys")).collect()}
+    assert {r.segment: r.extra_rows for r in found.collect()} == want
