@@ -132,3 +132,14 @@ def test_surplus_keys_are_dealt_to_a_fixed_number_of_tasks(spark):
     assert text.count(f", {E.PARTS}), REPARTITION_BY_NUM") == 2 and "_salt" in text
     want = {r.s: r.n - r.keys for r in rows.groupBy("s").agg(F.count("*").alias("n"), F.count_distinct("k").alias("keys")).collect()}
     assert {r.segment: r.extra_rows for r in found.collect()} == want
+
+
+def test_arrivals_and_shared_layers_grow_with_the_input(spark, sf_small, monkeypatch):
+    """No query draws a table into a fixed number of files; layers that several diagnoses read are stored once."""
+    from workload import queries as Q
+
+    frame, counts = type(spark.range(1)), []
+    plain = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda df, *by: counts.extend(b for b in by if isinstance(b, int)) or plain(df, *by))
+    Q.QUERIES["landed_files_in_order"](spark, sf_small)
+    assert counts == []
