@@ -143,3 +143,7 @@ def test_arrivals_and_shared_layers_grow_with_the_input(spark, sf_small, monkeyp
     monkeypatch.setattr(frame, "repartition", lambda df, *by: counts.extend(b for b in by if isinstance(b, int)) or plain(df, *by))
     Q.QUERIES["landed_files_in_order"](spark, sf_small)
     assert counts == []
+    stored, made = [], Q.D.stored_layers
+    monkeypatch.setattr(Q.D, "stored_layers", lambda *args: stored.append(args) or made(*args))
+    Q.QUERIES["findings_missing_column"](spark, sf_small)
+    assert len(stored) == 1
