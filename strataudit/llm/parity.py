@@ -76,30 +76,47 @@ class Bands:
         return [k for k in range(len(self.high)) if self.low[k] <= size <= self.high[k] and self.most[k]] if size else []
 
 
+def _blocks(members: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which blocks have members, and where those of each begin: members are in order, and so are their blocks."""
+    starts = np.searchsorted(((members >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32), np.arange(blocks, dtype=np.uint64))
+    filled = starts < np.append(starts[1:], len(members))
+    return filled, starts[filled]
+
+
 def sketch(members: np.ndarray, blocks: int) -> np.ndarray:
     """The parity sketch: 64 bits for each block, each bit telling whether an odd number of members fell on it. The sketches of
     two sets differ in at most as many bits as the sets differ in members."""
-    # members are in order, and so are their blocks
-    starts = np.searchsorted(((members >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32), np.arange(blocks, dtype=np.uint64))
     out = np.zeros(blocks, np.uint64)
-    filled = starts < np.append(starts[1:], len(members))
     if len(members):
-        out[filled] = np.bitwise_xor.reduceat(np.uint64(1) << (members & np.uint64(63)), starts[filled])
+        filled, starts = _blocks(members, blocks)
+        out[filled] = np.bitwise_xor.reduceat(np.uint64(1) << (members & np.uint64(63)), starts)
     return out
 
 
 def keys(members: np.ndarray, bands: Bands) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Band, keys and a coarse sketch for each of the set's bands. A band has one block, and so one key, more than members may
-    differ: two sets that are similar enough have a block without a difference, and its key in common. The coarse sketch has
-    about four bits for each member that may differ, enough to tell most other sets that share a key apart."""
+    """Band, keys and a coarse sketch for each of the set's bands. A key is the parity of all bits of a block's members, so blocks with other members
+    have other keys. A band has ``spare`` blocks and one more than members may differ: two sets that are similar enough have one block more
+    than ``spare`` without a difference, and its key in common. Blocks without members, which many sets share, have a key only where a
+    set has more than ``spare`` of them: with no more, one of the blocks in common has members. The coarse sketch has about sixteen bits for
+    each member that may differ, enough to tell most other sets that share a key apart."""
     out = []
     for k in bands.of(len(members)):
-        bits = sketch(members, bands.most[k] + 1)
-        place = (np.uint64(k) << np.uint64(48)) + np.arange(len(bits), dtype=np.uint64)
-        out.append((k, mixed(mixed(bits) + mixed(place)).view(np.int64), sketch(members, 1 + bands.most[k] // 16).view(np.int64)))
+        blocks = bands.most[k] + 1 + spare(bands.most[k])
+        filled, starts = _blocks(members, blocks)
+        bits = np.zeros(blocks, np.uint64)
+        bits[filled] = np.bitwise_xor.reduceat(members, starts)
+        place = (np.uint64(k) << np.uint64(48)) + np.arange(blocks, dtype=np.uint64)
+        found = mixed(mixed(bits) + mixed(place)).view(np.int64)
+        if blocks - len(starts) <= spare(bands.most[k]):
+            found = found[filled]
+        out.append((k, found, sketch(members, 1 + bands.most[k] // 4).view(np.int64)))
     return out
 
 
+def spare(most: int) -> int:
+    return 1 + most // 32
+
+
 KEYS = pa.struct([("band", pa.int32()), ("key", pa.int64())])
 SKETCHES = pa.struct([("band", pa.int32()), ("bits", pa.list_(pa.int64()))])
 

@@ -85,6 +85,21 @@ def test_sets_that_are_similar_enough_share_a_key():
                     assert every(a) & every(b)
 
 
+def test_unlike_sets_share_few_keys_and_pass_few_sketches():
+    """Sets without a member in common: what they share grows with the square of their number."""
+    rng, bands = np.random.default_rng(7), parity.Bands(85, 100)
+    for size in (20, 100, 1000):
+        found = [{x for _, ks, _ in parity.keys(np.unique(rng.integers(0, 1 << 64, size, np.uint64)), bands) for x in ks.tolist()} for _ in range(300)]
+        shared = sum(bool(a & b) for i, a in enumerate(found) for b in found[:i])
+        assert shared <= 5  # of 44,850 pairs
+    for size in (60, 400):  # three times as many different members as a link allows
+        band = bands.of(size)[0]
+        a = rng.integers(0, 1 << 64, size, np.uint64)
+        b = np.concatenate((a[bands.most[band]:], rng.integers(0, 1 << 64, 2 * bands.most[band], np.uint64)))
+        one, two = (next(x.view(np.uint64) for k, _, x in parity.keys(np.unique(s), bands) if k == band) for s in (a, b[:bands.high[band]]))
+        assert np.bitwise_count(one ^ two).sum() > bands.allowed(len(a) + len(b))
+
+
 def test_query_on_the_table(spark, sf_small):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
     got = queries.op13_parity_join(spark, sf_small)
