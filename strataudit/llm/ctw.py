@@ -73,12 +73,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return rows(WORD, np.fromiter(map(_word_hash, words), np.int64, len(words)), np.fromiter(words.values(), np.int64, len(words)))
 
     for part in pieces(batches, "text", 4 * PIECE):
-        train = ~part.column("held_out").to_numpy(zero_copy_only=False)
-        texts = [encoded(x) for x in utf8(part.column("text"))]
-        for one, (found, _) in zip(train.astype(int).tolist(), texts, strict=True):
+        train, coded = ~part.column("held_out").to_numpy(zero_copy_only=False), []
+        for one, text in zip(train.astype(int).tolist(), utf8(part.column("text")), strict=True):
+            found, line = encoded(text)  # the words of one text at a time: as objects they take many times its bytes
             for w in found:
                 words[w] = words.get(w, 0) + one
-        more, n = _grams_of([x[1] for x in texts], train)
+            coded.append(line)
+        more, n = _grams_of(coded, train)
         keys, counts = grams.runs(np.concatenate((keys, more)), np.concatenate((counts, n)))
         if len(words) > HELD:
             yield of_words()
@@ -96,12 +97,15 @@ def _asking(common):
         known = {kind: np.sort(keys) for kind, (keys, _) in common.value.items()}
         for part in pieces(batches, "text", 8 * PIECE):
             chunks = part.column("chunk").to_numpy()
-            texts = [encoded(x) for x in utf8(part.column("text"))]
+            texts = utf8(part.column("text"))
             for chunk in np.unique(chunks):
-                some = [texts[i] for i in np.flatnonzero(chunks == chunk)]
-                words = {w for ws, _ in some for w in ws}
+                words, coded = set(), []
+                for i in np.flatnonzero(chunks == chunk):
+                    found, line = encoded(texts[i])
+                    words.update(found)
+                    coded.append(line)
                 asked = {WORD: np.fromiter(map(_word_hash, words), np.int64, len(words)),
-                         GRAM: _grams_of([x[1] for x in some], np.ones(len(some), bool))[0].astype(np.int64)}
+                         GRAM: _grams_of(coded, np.ones(len(coded), bool))[0].astype(np.int64)}
                 for kind, keys in asked.items():
                     keys = keys[~grams.found(known[kind], keys)[1]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk, np.int64)), pa.array(np.full(len(keys), kind, np.int8)),
