@@ -17,7 +17,7 @@ from strataudit.llm.graph import components
 
 SEED = 42
 PIECE = 1 << 22  # bytes of text, or of sets, handled at once
-STARS = 2
+STARS = 3
 RUN = 1 << 19  # hashes that are compared with one set at once
 WORDS_KNOWN = 1 << 20  # words whose hashes a task remembers
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two rows are linked if their sets of word runs have a Jaccard similarity of at least ``num / den``, compared exactly, in whole numbers. A-Z
     is lower-cased; a text with fewer words is one run. No linked pair is missed: see ``keys``. Equal sets are one node. Of the sets that
-    share a key, each is first compared with the smallest of them, which is then done with; so are the next ``STARS``. Of the others,
+    share a key, each is first compared with the smallest of them, which is then done with; so are ``STARS`` more, all at once. Of the others,
     those in different groups are compared with each other. Sizes and sketches rule out most pairs, the sets themselves decide.
 
     Sets are known by 64-bit hashes, as are their members. Null texts and texts without words have an empty set: ``fp`` is null, ``size`` 0, and
@@ -266,14 +266,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return rest.select("key", "band", "fp").join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
 
     least, most = F.min("group").alias("least"), F.max("group").alias("most")
-    links, rest = compared(members.selectExpr("low AS a", "fp AS b", "band")), members
+    links = compared(members.selectExpr("low AS a", "fp AS b", "band"))
     groups = grouped(links)
-    for _ in range(STARS):
-        open_ = named(rest, groups)
-        stars = open_.groupBy("key").agg(F.min(F.struct("fp", "group")).alias("star"), least, most).where("least < most").select("key", "star")
-        rest = kept(open_.join(stars, "key").where("fp > star.fp").select("key", "band", "fp", "group", "star"))
-        links = kept(links.union(compared(rest.where("group != star.group").selectExpr("star.fp AS a", "fp AS b", "band"))))
-        groups = grouped(links)
+    open_ = named(members, groups)
+    stars = F.array_distinct(F.array(*[F.min_by(F.struct("fp", "group"), F.xxhash64(F.lit(r), "fp")) for r in range(STARS)])).alias("stars")
+    met = kept(open_.join(open_.groupBy("key").agg(stars, least, most).where("least < most").select("key", "stars"), "key"))
+    pairs = met.withColumn("star", F.explode("stars")).where("fp != star.fp AND group != star.group")
+    links = kept(links.union(compared(pairs.selectExpr("least(fp, star.fp) AS a", "greatest(fp, star.fp) AS b", "band"))))
+    groups = grouped(links)
+    rest = met.where("NOT exists(stars, s -> s.fp = fp)")
     open_ = named(rest, groups)
     several = open_.groupBy("key").agg(least, most).where("least < most").select("key")
     full = open_.join(several, "key", "left_semi").join(sketches, ["fp", "band"])
