@@ -139,3 +139,44 @@ def test_crowds_lose_no_link(spark):
     few = lines.repeats(df, crowd=1, draws=1).select("id", "of_id").collect()
     all_pairs = lines.repeats(df, crowd=10**9).select("id", "of_id").collect()
     assert sorted(map(tuple, few)) == sorted(map(tuple, all_pairs)) and len(few) >= 100
+
+
+def test_similarity_is_decided_as_the_distance_does():
+    """Gaps between common words say yes only where the distance does, and say it for most pairs that differ by words."""
+    rng = random.Random(3)
+    words = [f"w{i}x" for i in range(40)] + ["\u00e9t\u00e9", "\u65e5\u672c"]
+    close = 0
+    for n in range(400):
+        a = [rng.choice(words) for _ in range(rng.randint(0, 30))]
+        b = [rng.choice(words) if rng.random() < (n % 10) / 20 else w for w in a if rng.random() > 0.03]
+        a, b = " ".join(a), " ".join(b).replace("w1x", "w1 x" if n % 3 else "w1y")
+        assert lines.reaches(a, b, 0.8) == (lines.alike(a, b) >= 0.8)
+        between = lines.gaps(a, b)
+        assert sum(lines.edits(x, y) for x, y in between) >= lines.edits(a, b)
+        close += sum(max(len(x), len(y)) for x, y in between) <= 0.2 * max(len(a), len(b))
+    assert close >= 100
+    assert lines.gaps("one two", "one two") == [] and lines.gaps("", "one") == [(" ", "one ")]
+
+
+def test_lines_that_only_share_a_crowded_key_are_not_compared():
+    """In a whole bucket, a sketch that is near no other of its key, but for those it is paired with, need not meet them again; no near pair is lost."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    members = np.zeros(600, lines.MEMBER)
+    members["key"] = rng.integers(0, 10, 600)
+    members["s"] = rng.integers(0, 1 << 63, 600, np.uint64)
+    near = rng.integers(0, 600, 300)
+    members["s"][near] = members["s"][0] ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64))
+    members["n"] = rng.integers(200, 204, 600)
+    every, some = [], []
+    pairs, _ = lines._meet(members, 8, 1, 8, False, every)
+    again, _ = lines._meet(members, 8, 1, 8, False, some, True)
+    assert set(map(tuple, pairs.tolist())) == set(map(tuple, again.tolist()))
+    some, pairs = set(map(tuple, some[0].tolist())), set(map(tuple, pairs.tolist()))
+    assert len(some) <= 0.6 * len(every[0])
+    for x in members:
+        for y in members:
+            apart = (int(x["s"]) ^ int(y["s"])).bit_count()
+            if x["key"] == y["key"] and x["s"] < y["s"] and apart <= lines.APART[min(x["n"], y["n"])] and abs(int(x["n"]) - int(y["n"])) <= 8:
+                assert (x["s"], y["s"]) in pairs or {(x["s"], x["key"]), (y["s"], y["key"])} <= some
