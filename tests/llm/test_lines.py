@@ -158,6 +158,26 @@ def test_similarity_is_decided_as_the_distance_does():
     assert lines.gaps("one two", "one two") == [] and lines.gaps("", "one") == [(" ", "one ")]
 
 
+def test_distances_side_by_side():
+    """Many pairs at once have the distances that they have one by one, up to the number asked for, and more than it where they are farther apart."""
+    rng, pairs = random.Random(6), [("", ""), ("", "abc")]
+    for n in range(1200):
+        a = "".join(rng.choice("abc\u00e9\u65e5\U0001f600 ") for _ in range(rng.choice((0, 1, 3, 62, 63, 64, 65, 66, 127, 128, 129, 200))))
+        b = list(a)
+        for _ in range(rng.randint(0, 1 + len(a) // 3)):
+            b.insert(rng.randint(0, len(b)), rng.choice("abcd"))
+            if rng.random() < 0.7:
+                b.pop(rng.randrange(len(b)))
+        moved = rng.randint(0, len(b)) if n % 7 == 0 else 0
+        pairs.append((a, "".join(b[moved:] + b[:moved])))
+    want = [lines.edits(*p) for p in pairs]
+    for most in (0, 1, 12, 63, 64, 65, 250):
+        for got, edited in zip(lines.edits_of(pairs, [most] * len(pairs)), want, strict=True):
+            assert got == edited if edited <= most else got > most
+    close = [lines.alike(*p) >= 0.8 for p in pairs]
+    assert lines.all_reach(pairs, 0.8) == lines.all_reach(pairs, 0.8, likely=False) == close and 100 < sum(close) < len(close) - 100
+
+
 def test_lines_that_only_share_a_crowded_key_are_not_compared():
     """In a whole bucket, a sketch that is near no other of its key, but for those it is paired with, need not meet them again; no near pair is lost."""
     import numpy as np
