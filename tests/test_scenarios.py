@@ -178,3 +178,16 @@ def test_approximate_profile_keeps_exact_keys(spark, sf_small):
         assert (r.row_count, r.null_count, r.duplicate_keys, r.min_value, r.max_value, r.min_text) == \
             (e.row_count, e.null_count, e.duplicate_keys, e.min_value, e.max_value, e.min_text)
         assert abs(r.distinct_count - e.distinct_count) <= max(2, 0.15 * e.distinct_count)
+
+
+@pytest.mark.parametrize("scenario", ["duplicate_rows", "dropped_join_key"])
+def test_segments_without_evidence(spark, sf_small, scenario):
+    """Who wants only segments and values gets the same ones without the evidence being looked up."""
+    layers = D.stored_layers(spark, sf_small, scenario)
+    full, lean = G.diagnose(layers, CFG, scenario), G.diagnose(layers, CFG, scenario, evidence=False)
+    for part in ("segments", "finding_values"):
+        assert sorted(map(str, getattr(lean, part).collect())) == sorted(map(str, getattr(full, part).collect()))
+    assert lean.segments.count() > 0 and ranked(lean) == ranked(full)
+    if scenario == "duplicate_rows":
+        assert len(lean.kept) < len(full.kept)  # the rows of the table are not counted by their fingerprints
+    full.close(), lean.close()
