@@ -122,7 +122,8 @@ def links(fps: DataFrame, distance: int = 4, blocks: int = 3) -> DataFrame:
     home = fps.select(F.explode(F.expr(code.keys("fp"))).alias("key"), F.col("fp").alias("a"))
     near = fps.select(F.explode(F.expr(code.keys("fp", 1 + code.within))).alias("key"), F.col("fp").alias("b"))
     close = f"a < b AND bit_count(a ^ b) <= {distance} AND {code.first_meeting('a', 'b', 'h.key')}"
-    return home.alias("h").join(near.alias("n"), (F.col("h.key") == F.col("n.key")) & F.expr(close)).select("a", "b")
+    # Spark sizes an exploded frame as if each row gave one, and would broadcast copies many times as large as the fingerprints
+    return home.hint("merge").alias("h").join(near.hint("merge").alias("n"), (F.col("h.key") == F.col("n.key")) & F.expr(close)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,

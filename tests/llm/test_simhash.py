@@ -38,6 +38,14 @@ def test_links_are_complete(spark):
         assert len(pairs) == len(set(pairs)) and set(pairs) == want
 
 
+def test_copies_are_not_broadcast(spark):
+    """A fingerprint has some 44 copies, which Spark's estimate leaves out: a few MB of fingerprints would be broadcast as hundreds."""
+    pairs = simhash.links(spark.range(20_000).selectExpr("xxhash64(id) AS fp"))
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components(spark, edges, nothing):
     got = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(edges).collect()}
     assert {(1, 1), (None, 1), (6, 1), (2, 2), (3, 2), (4, 2), (7, 7)} <= got  # no words: all alike
