@@ -200,3 +200,36 @@ def test_lines_that_only_share_a_crowded_key_are_not_compared():
             apart = (int(x["s"]) ^ int(y["s"])).bit_count()
             if x["key"] == y["key"] and x["s"] < y["s"] and apart <= lines.APART[min(x["n"], y["n"])] and abs(int(x["n"]) - int(y["n"])) <= 8:
                 assert (x["s"], y["s"]) in pairs or {(x["s"], x["key"]), (y["s"], y["key"])} <= some
+
+
+def test_distances_take_a_few_operations_a_column(monkeypatch):
+    """All words of a column near the diagonal are worked on at once, so a batch of pairs takes as many operations as its texts are long."""
+    import numpy as np
+
+    class Counted:
+        calls = 0
+
+        def __getattr__(self, name):
+            self.calls += name == "invert"
+            return getattr(np, name)
+
+    rng = random.Random(8)
+    pairs = [("".join(rng.choices("abcdefgh ", k=640)), "".join(rng.choices("abcdefgh ", k=600))) for _ in range(80)]
+    want = [lines.edits(*p) for p in pairs]
+    counted = Counted()
+    monkeypatch.setattr(lines, "np", counted)
+    got = lines._edits_at_once(pairs, 639).tolist()
+    assert got == want and counted.calls <= 2 * (640 + 11)
+
+
+def test_lines_are_normal_in_whole_texts():
+    """Lines of a text that is normalised at once are the normal forms of each line."""
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    kinds = ["a", "B", " ", "  ", "\t", "\n", "\r", "\v", "\f", ".", "é", "日", "\x1c", "\x85", "　", " Two, words", "\0"]
+    texts = ["".join(rng.choices(kinds, k=rng.randint(0, 90))) for _ in range(2000)] + [None, ""]
+    for least in (0, 1, 2, 5):
+        want = [(row, no, form) for row, text in enumerate(texts) for no, line in enumerate((text or "").encode().split(b"\n"))
+                if (form := lines.normal(line)) and (form.count(b" ") >= least - 1 or len(form.decode()) >= lines.LEAST_CHARS)]
+        assert list(lines._texts_of(pa.record_batch([pa.array(texts)], names=["text"]), "text", least)) == want
